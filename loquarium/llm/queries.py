@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from loquarium.llm.common import table
 from loquarium.llm.decontaminate import decontaminate
+from loquarium.llm.packing import best_fit_packing
+from loquarium.llm.token_counts import token_counts
+from loquarium.llm.token_store import token_store
+from loquarium.llm.warc import warc_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,9 +40,47 @@ from d left join p on d.doc_id = p.doc_id left join t on d.doc_id = t.doc_id
 """
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public vocabulary file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+OP2_SQL = """
+with p as (select page_id, encode(coalesce(html, '')) b from pages),
+d as (select page_id, octet_length(b) n, sha256(b) h from p),
+f as (select h, min(page_id) first from d where n >= 100 group by h)
+select page_id, cast(n as bigint) payload_bytes, d.h payload_digest, case when first is null or first = page_id then 'response' else 'revisit' end record_type,
+case when first <> page_id then first end refers_to from d left join f on d.h = f.h
+"""
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), drops_space=False, end_id=50256)
+
+
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), drops_space=False, end_id=2)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), drops_space=True, end_id=1, capacity=4096)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontamination": op1_decontamination}
+    return {
+        "op1_decontamination": op1_decontamination,
+        "op2_warc": op2_warc,
+        "op4_token_counts": op4_token_counts,
+        "op7_token_store": op7_token_store,
+        "op9_packing": op9_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL}
+    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL}
