@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from loquarium.llm.common import table
 from loquarium.llm.decontaminate import decontaminate
+from loquarium.llm.jaccard_join import jaccard_join
 from loquarium.llm.packing import best_fit_packing
 from loquarium.llm.token_counts import token_counts
 from loquarium.llm.token_store import token_store
+from loquarium.llm.vector_join import vector_join
 from loquarium.llm.warc import warc_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,15 +74,52 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), drops_space=True, end_id=1, capacity=4096)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = jaccard_join(table(spark, sf_dir, "documents"), percent=80, n=5)
+    return members.select("doc_id", "n_shingles", "component_id")
+
+
+OP6_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents where text is not null),
+i as (select doc_id, w, least(5, len(w)) n, unnest(range(1, greatest(len(w) - 4, 1) + 1)) i from w where len(w) > 0),
+s as (select distinct doc_id, hash(array_to_string(w[i:i + n - 1], ' ')) g from i),
+c as (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id x, b.doc_id y, count(*) k from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+e as (select x, y from p join c cx on cx.doc_id = x join c cy on cy.doc_id = y where 100 * k >= 80 * (cx.n + cy.n - k)),
+u as (select x, y from e union all select y, x from e),
+r as (select distinct x doc_id, x root from u union select u.y, r.root from r join u on u.x = r.doc_id),
+m as (select doc_id, min(root) root from r group by doc_id)
+select d.doc_id, coalesce(c.n, 0) n_shingles, coalesce(m.root, d.doc_id) component_id from documents d left join c on c.doc_id = d.doc_id left join m on m.doc_id = d.doc_id
+"""
+
+
+def op10_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+OP10_SQL = """
+with recursive v as (select vec_id, cast(embedding as double[]) e from embeddings where embedding is not null),
+n as (select vec_id, e, sqrt(list_inner_product(e, e)) l from v where len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0),
+ok as (select * from n where l > 0),
+u as (select a.vec_id x, b.vec_id y from ok a join ok b on a.vec_id <> b.vec_id where list_inner_product(a.e, b.e) / (a.l * b.l) >= 0.9),
+r as (select distinct x vec_id, x root from u union select u.y, r.root from r join u on u.x = r.vec_id),
+m as (select vec_id, min(root) root from r group by vec_id),
+k as (select x, count(*) k from u group by x)
+select d.vec_id, coalesce(k.k, 0) n_links, coalesce(m.root, d.vec_id) component_id, coalesce(m.root, d.vec_id) = d.vec_id kept from embeddings d left join m on m.vec_id = d.vec_id left join k on k.x = d.vec_id
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_warc": op2_warc,
         "op4_token_counts": op4_token_counts,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_token_store": op7_token_store,
         "op9_packing": op9_packing,
+        "op10_vector_join": op10_vector_join,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL}
+    return {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op10_vector_join": OP10_SQL}
