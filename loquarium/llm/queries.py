@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from loquarium.llm.common import table
 from loquarium.llm.decontaminate import decontaminate
 from loquarium.llm.jaccard_join import jaccard_join
+from loquarium.llm.language_id import held_out, identify, teaching, train
+from loquarium.llm.line_dedup import line_dedup
 from loquarium.llm.packing import best_fit_packing
+from loquarium.llm.sentence_spans import substring_dedup
 from loquarium.llm.token_counts import token_counts
 from loquarium.llm.token_store import token_store
 from loquarium.llm.vector_join import vector_join
@@ -62,6 +65,12 @@ case when first <> page_id then first end refers_to from d left join f on d.h =
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train(teaching(docs))
+    return identify(docs.select("doc_id", "text", held_out().alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), drops_space=False, end_id=50256)
 
@@ -70,10 +79,18 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store(spark, table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), drops_space=False, end_id=2)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), drops_space=True, end_id=1, capacity=4096)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     members, _ = jaccard_join(table(spark, sf_dir, "documents"), percent=80, n=5)
     return members.select("doc_id", "n_shingles", "component_id")
@@ -113,9 +130,12 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_warc": op2_warc,
+        "op3_language_id": op3_language_id,
         "op4_token_counts": op4_token_counts,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_token_store": op7_token_store,
+        "op8_line_dedup": op8_line_dedup,
         "op9_packing": op9_packing,
         "op10_vector_join": op10_vector_join,
     }
