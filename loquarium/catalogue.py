@@ -1,11 +1,17 @@
-"""Named queries of the reference's operators over the driver's tables, with their SQL."""
+"""Named queries over the driver's tables, each beside its SQL."""
 
 from __future__ import annotations
 
+from loquarium.plans import corpus, events, scoring, texts
+
+
+def _all():
+    return {**scoring.QUERIES, **events.QUERIES, **texts.QUERIES, **corpus.QUERIES}
+
 
 def queries():
-    return {}
+    return {name: run for name, (run, _) in _all().items()}
 
 
 def oracle_sql():
-    return {}
+    return {name: sql for name, (_, sql) in _all().items() if sql}
