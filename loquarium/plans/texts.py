@@ -30,7 +30,7 @@ def hms(spark, d):
     return t.select("doc_id", "hms", T.hms_seconds(F.col("hms")).alias("seconds"))
 
 
-HMS_SQL = "select doc_id, printf('%02d:%02d:%02d', n_chars // 3600, n_chars // 60 % 60, n_chars % 60) hms, cast(n_chars as double) as "seconds" from documents"
+HMS_SQL = "select doc_id, printf('%02d:%02d:%02d', n_chars // 3600, n_chars // 60 % 60, n_chars % 60) hms, cast(n_chars as double) as \"seconds\" from documents"
 
 
 def number_words(spark, d):
