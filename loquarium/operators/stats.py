@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import difflib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,10 +100,6 @@ def grid_best(grid: DataFrame, score: str, maximise: bool = True) -> DataFrame:
 
 def word_accuracy(df: DataFrame, ref: str, hyp: str) -> DataFrame:
     """(word, n, matched, accuracy) of reference words that matching blocks pair with the hypothesis."""
-    import difflib
-
-    import pandas as pd
-
     def run(refs: pd.Series, hyps: pd.Series) -> pd.Series:
         out = []
         for r, h in zip(refs.fillna(""), hyps.fillna("")):

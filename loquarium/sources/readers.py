@@ -62,8 +62,8 @@ def read_rttm(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_frames(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file_id, frame_idx, p) of files with one number a line."""
-    df = spark.read.text(paths, wholetext=True).select(stem(F.input_file_name()).alias("file_id"), F.posexplode(F.split(F.trim("value"), r"\s+")).alias("frame_idx", "p"))
-    return df.withColumn("p", F.col("p").cast("double"))
+    df = spark.read.text(paths, wholetext=True).select(stem(F.input_file_name()).alias("file_id"), F.posexplode(F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")).alias("frame_idx", "p"))
+    return df.where("p <> ''").withColumn("p", F.col("p").cast("double"))
 
 
 def read_manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:

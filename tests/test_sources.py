@@ -2,6 +2,7 @@
 
 import json
 import struct
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,7 +98,11 @@ def test_failing_backend_gives_empty_text(spark):
 def test_streams_equal_batch(spark, tmp_path):
     folder = str(tmp_path / "in")
     batch = spark.read.parquet(f"{DATA}/events.parquet")
-    batch.repartitionByRange(3, "ts").write.parquet(folder)
+    parts = [(None, "2024-01-05"), ("2024-01-05", "2024-01-12"), ("2024-01-12", None)]
+    for a, b in parts:  # one file after another, so that the stream takes them in order
+        some = batch.where(F.col("ts") >= F.lit(a).cast("timestamp_ntz")) if a else batch
+        (some.where(F.col("ts") < F.lit(b).cast("timestamp_ntz")) if b else some).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(1.1)
     batch = batch.withColumn("ts", F.col("ts").cast("timestamp"))
     stream = lambda: events.read_stream(spark, folder, 1)
     key = lambda df: sorted(tuple(r) for r in df.collect())
