@@ -61,6 +61,25 @@ def ranked(df: DataFrame, by: Column, tie: str, out: str = "rn") -> DataFrame:
     return part.withColumn(out, (local + F.try_element_at(shift, F.col("_p"))).cast("long")).drop("_by", "_p")
 
 
+def running_totals(df: DataFrame, by: str, values: list[str]) -> DataFrame:
+    """Adds before_<value>: the sum of a whole-number column over all rows ordered before (by is distinct).
+
+    Like ranked: range partitions, local sums, and a shift for each partition.
+    """
+    part = df.repartitionByRange(by).withColumn("_p", F.spark_partition_id()).persist()
+    totals = {r["_p"]: [r[f"_{v}"] or 0 for v in values] for r in part.groupBy("_p").agg(*[F.sum(v).alias(f"_{v}") for v in values]).collect()}
+    w = Window.partitionBy("_p").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    out = part
+    for i, v in enumerate(values):
+        at, pairs = 0, []
+        for p in sorted(totals):
+            pairs += [F.lit(p), F.lit(int(at)).cast("long")]
+            at += totals[p][i]
+        shift = F.create_map(*pairs) if pairs else F.create_map().cast("map<int,bigint>")
+        out = out.withColumn(f"before_{v}", F.coalesce(F.sum(v).over(w), F.lit(0)) + F.try_element_at(shift, F.col("_p")))
+    return out.drop("_p")
+
+
 def shards(df: DataFrame, key: str, n: int) -> DataFrame:
     """Adds shard and place: seeded order, n equal shards, the remainder left out."""
     total = df.count()
@@ -148,14 +167,9 @@ def blend(weights: list[float], steps: int) -> list[tuple[int, int, int]]:
 def fixed_windows(df: DataFrame, key: str, length: str, seq: int) -> DataFrame:
     """(key, window, from, to): documents laid end to end, cut to windows of seq tokens with one token of overlap.
 
-    Document starts are a prefix sum by blocks of keys, so no task holds all rows.
+    Document starts are running totals over range partitions, so no task holds all rows.
     """
-    block = df.withColumn("_b", F.floor(F.col(key) / 4096))
-    totals = block.groupBy("_b").agg(F.sum(length).alias("_t"))
-    totals = totals.withColumn("_base", F.coalesce(F.sum("_t").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = F.coalesce(F.sum(length).over(Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = block.withColumn("_in", inside).join(totals.select("_b", "_base"), "_b").withColumn("at", F.col("_base") + F.col("_in"))
-    placed = placed.where(F.col(length) > 0)
+    placed = running_totals(df.select(key, length), key, [length]).withColumn("at", F.col(f"before_{length}")).where(F.col(length) > 0)
     windows = F.sequence(F.floor(F.greatest(F.col("at") - 1, F.lit(0)) / seq), F.floor((F.col("at") + F.col(length) - 1) / seq))
     out = placed.select(key, "at", length, F.explode(windows).alias("window"))
     low, high = F.greatest(F.col("at"), F.col("window") * seq), F.least(F.col("at") + F.col(length), (F.col("window") + 1) * seq + 1)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loquarium.functions.edit import tokens
 
 
+#: Queries and items that meet in one task, at most about.
+QUERY_BLOCK, ITEM_CHUNK = 1024, 16_384
+
+
 def ngrams(items: Column, n: int) -> Column:
     """Arrays of n neighbours, none for shorter input."""
     return F.when(F.size(items) >= n, F.transform(F.sequence(F.lit(1), F.size(items) - n + 1), lambda i: F.slice(items, i, F.lit(n)))).otherwise(F.array().cast("array<array<string>>"))
@@ -74,11 +80,28 @@ def dot(a: Column, b: Column) -> Column:
 def knn(queries: DataFrame, items: DataFrame, key: str, vector: str, k: int) -> DataFrame:
     """(query, item, score, rank) of the k greatest dot products, exact, ties by item; queries is a stated set against all rows.
 
-    The rank limit applies before the shuffle, so each task sends at most k rows for each query.
+    Blocks of queries meet chunks of items, both of bounded size, in a matrix product; a task returns
+    at most k items for each of its queries.  Rows with a null key or vector take no part.
     """
-    q = queries.select(F.col(key).alias("query"), F.col(vector).alias("_q"))
-    pairs = items.select(F.col(key).alias("item"), F.col(vector).alias("_v")).join(F.broadcast(q)).where("query <> item")
-    scored = pairs.select("query", "item", dot(F.col("_q"), F.col("_v")).alias("score"))
+    side = lambda df, name: df.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.lit(name).alias("side"))
+    q, x = side(queries, 0), side(items, 1)
+    blocks, chunks = max(1, -(-q.count() // QUERY_BLOCK)), max(1, -(-x.count() // ITEM_CHUNK))
+    place = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    both = q.withColumns({"block": place(blocks), "chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))}).unionByName(x.withColumns({"block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), "chunk": place(chunks)}))
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        a, b = group[group["side"] == 0], group[group["side"] == 1].sort_values("id")
+        if not len(a) or not len(b):
+            return pd.DataFrame({"query": [], "item": [], "score": []}).astype({"query": "i8", "item": "i8", "score": "f8"})
+        ids, own = b["id"].to_numpy("i8"), a["id"].to_numpy("i8")
+        scores = np.array(a["v"].tolist()) @ np.array(b["v"].tolist()).T
+        scores[own[:, None] == ids] = -np.inf
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        row = np.repeat(np.arange(len(own)), best.shape[1])
+        out = pd.DataFrame({"query": own[row], "item": ids[best.ravel()], "score": scores[row, best.ravel()]})
+        return out[out["score"] > -np.inf]
+
+    scored = both.groupBy("block", "chunk").applyInPandas(meet, "query long, item long, score double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "item"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)
 

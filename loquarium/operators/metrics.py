@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from loquarium.functions import edit
 from loquarium.functions.text import normalise_answer
+from loquarium.operators.curation import running_totals
 
 
 def error_rate(df: DataFrame, ref: str, hyp: str, by: list[str] | None = None, chars: bool = False) -> DataFrame:
@@ -150,17 +151,16 @@ def normalized_cross_entropy(df: DataFrame, score: str, correct: str) -> DataFra
 def auc_roc(df: DataFrame, score: str, correct: str) -> DataFrame:
     """Area under the ROC curve; ties count half.
 
-    Equal scores are one row first, so the running sum is over distinct scores.
+    Equal scores are one row first; the running sum is over range partitions.
     """
     per = df.groupBy(F.col(score).alias("p")).agg(F.sum(F.when(F.col(correct) == 1, 1).otherwise(0)).alias("pos"), F.sum(F.when(F.col(correct) == 1, 0).otherwise(1)).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return per.withColumn("b", below).agg((F.sum(F.col("pos") * (F.col("b") + F.col("neg") * 0.5)) / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return running_totals(per, "p", ["neg"]).withColumn("b", F.col("before_neg")).agg((F.sum(F.col("pos") * (F.col("b") + F.col("neg") * 0.5)) / (F.sum("pos") * F.sum("neg"))).alias("auc"))
 
 
 def best_threshold(df: DataFrame, by: str, gain: str, start: Column) -> DataFrame:
     """(threshold, best): the value of by up to which the running sum of gain, from start on, is greatest (the first on ties)."""
     per = df.groupBy(F.col(by).alias("threshold")).agg(F.sum(gain).alias("g"))
-    run = per.withColumn("best", F.sum("g").over(Window.orderBy("threshold").rowsBetween(Window.unboundedPreceding, 0)) + start)
+    run = running_totals(per, "threshold", ["g"]).withColumn("best", F.col("before_g") + F.col("g") + start)
     return run.agg(F.max_by("threshold", F.struct(F.col("best"), -F.col("threshold"))).alias("threshold"), F.max("best").alias("best"))
 
 
