@@ -12,8 +12,8 @@ in the last resort for its empty partitions: no pair is lost.
 Copies (equal sets) are one class first.  Signatures travel packed by bucket; a bucket's task sorts
 them and emits pairs.  A signature that more than ``ALL_PAIRS`` classes share gives a star around its
 least class; after verification and components, only members of such signatures that are still in
-different components are compared with each other, block by block, by a parity sketch whose bit
-differences bound the set difference from below.  Every emitted pair is verified exactly.
+different components are compared with each other by a parity sketch, whose bit differences bound
+the set difference from below.  Every emitted pair is verified exactly.
 """
 
 from __future__ import annotations
@@ -35,9 +35,11 @@ ALL_PAIRS = 8
 LEVELS = 6
 #: Signatures that one bucket holds, about; and classes signed together.
 BUCKET_SIGNATURES, BATCH_DOCS = 1_500_000, 2000
+#: Members of crowded signatures that one task compares, about.
+CROWD_ROWS = 50_000
 #: Rows of ids up to which an id list is broadcast (16 bytes a row); beyond, the join is shuffled.
 BROADCAST_IDS = 2_000_000
-PACKED = "bucket int, docs binary, counts binary, sigs binary, sizes binary, comps binary, sketches binary"
+PACKED = "bucket int, docs binary, counts binary, sigs binary"
 
 
 class Bands:
@@ -125,18 +127,16 @@ def describe(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInPandas(run, "id long, size long, h1 long, h2 long")
 
 
-def _pack(docs: DataFrame, n: int, percent: int, buckets: int, sketched: bool) -> DataFrame:
-    """(PACKED) signatures of docs (id, t, comp) by bucket; sketched adds sizes, components and sketches."""
+def _pack(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
+    """(PACKED) signatures of docs (id, t) by bucket."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands = Bands(percent)
         for batch in batches:
             for at in range(0, len(batch), BATCH_DOCS):
                 some = batch.iloc[at : at + BATCH_DOCS]
-                ids, comps = some["id"].to_numpy("i8"), some["comp"].to_numpy("i8")
-                sets = list(shingle_sets(some["t"].tolist(), n))
-                owner, sig = sign(sets, bands)
-                drawn = [sketch(s) for s in sets] if sketched else []
+                ids = some["id"].to_numpy("i8")
+                owner, sig = sign(list(shingle_sets(some["t"].tolist(), n)), bands)
                 bucket = (sig >> np.uint64(48)).astype(np.int64) * buckets >> 16
                 order = np.lexsort((owner, bucket))
                 owner, sig, bucket = owner[order], sig[order], bucket[order]
@@ -145,15 +145,14 @@ def _pack(docs: DataFrame, n: int, percent: int, buckets: int, sketched: bool) -
                 for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
                     own, count = np.unique(owner[a:b], return_counts=True)
                     six = sig[a:b].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                    more = (np.array([len(sets[i]) for i in own], "<i8").tobytes(), comps[own].tobytes(), b"".join(len(drawn[i]).to_bytes(4, "little") + drawn[i].tobytes() for i in own)) if sketched else (None, None, None)
-                    rows.append((int(bucket[a]), ids[own].tobytes(), count.astype("<i4").tobytes(), six, *more))
-                yield pd.DataFrame(rows, columns=["bucket", "docs", "counts", "sigs", "sizes", "comps", "sketches"])
+                    rows.append((int(bucket[a]), ids[own].tobytes(), count.astype("<i4").tobytes(), six))
+                yield pd.DataFrame(rows, columns=["bucket", "docs", "counts", "sigs"])
 
     return docs.mapInPandas(run, PACKED)
 
 
-def _runs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(row numbers of members, ends of runs) of the signatures that two or more share; rows number the bucket's documents."""
+def _runs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row numbers of members, ends of runs, signature of each run) of those that two or more share; rows number the bucket's documents."""
     count = np.concatenate([np.frombuffer(x, "<i4") for x in group["counts"]])
     six = np.frombuffer(b"".join(group["sigs"]), np.uint8).reshape(-1, 6)
     sig = np.zeros((len(six), 8), np.uint8)
@@ -165,17 +164,17 @@ def _runs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     new = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
     size = np.diff(np.append(new, len(sig)))
     keep = np.repeat(size >= 2, size)
-    return owner[keep], np.cumsum(size[size >= 2])
+    return owner[keep], np.cumsum(size[size >= 2]), sig[new[size >= 2]]
 
 
 def candidates(packed: DataFrame) -> DataFrame:
-    """(a, b) candidate pairs, a < b; and (a, null) for members of signatures that more than ALL_PAIRS share."""
+    """(a, b, null) candidate pairs, a < b; and (a, null, g) for each member of a signature g that more than ALL_PAIRS share."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.frombuffer(x, "<i8") for x in group["docs"]])
-        owner, ends = _runs(group)
+        owner, ends, sig = _runs(group)
         if not len(ends):
-            return pd.DataFrame({"a": pd.array([], "Int64"), "b": pd.array([], "Int64")})
+            return pd.DataFrame({c: pd.array([], "Int64") for c in "abg"})
         doc = ids[owner]
         starts = np.append(0, ends[:-1])
         size = ends - starts
@@ -189,46 +188,37 @@ def candidates(packed: DataFrame) -> DataFrame:
         pairs.append(np.stack((least[large], doc[large]), 1))
         pairs = np.unique(np.concatenate(pairs), axis=0)
         pairs = pairs[pairs[:, 0] < pairs[:, 1]]
-        members = np.unique(doc[large])
-        return pd.DataFrame({"a": pd.array(np.append(pairs[:, 0], members), "Int64"), "b": pd.array([*pairs[:, 1].tolist(), *[None] * len(members)], "Int64")})
+        name = (np.uint64(group["bucket"].iloc[0]) << np.uint64(48) | sig).view("i8")[run_of[large]]
+        none = lambda k: pd.array([None] * k, "Int64")
+        two = pd.DataFrame({"a": pd.array(pairs[:, 0], "Int64"), "b": pd.array(pairs[:, 1], "Int64"), "g": none(len(pairs))})
+        return pd.concat([two, pd.DataFrame({"a": pd.array(doc[large], "Int64"), "b": none(len(large)), "g": pd.array(name, "Int64")})])
 
-    return packed.groupBy("bucket").applyInPandas(run, "a long, b long")
+    return packed.groupBy("bucket").applyInPandas(run, "a long, b long, g long")
 
 
-def cross_candidates(packed: DataFrame, percent: int) -> DataFrame:
-    """(a, b) pairs of classes in different components that share a signature and whose sketches allow similarity."""
+def cross_candidates(members: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """(a, b) pairs of members (g, a, comp, size, bits) of one signature in different components whose sketches allow similarity."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        join = lambda c: np.concatenate([np.frombuffer(x, "<i8") for x in group[c]])
-        ids, sizes, comps, drawn = join("docs"), join("sizes"), join("comps"), []
-        for raw in group["sketches"]:
-            at = 0
-            while at < len(raw):
-                k = int.from_bytes(raw[at : at + 4], "little")
-                drawn.append(np.frombuffer(raw, np.uint64, k, at + 4))
-                at += 4 + 8 * k
-        owner, ends = _runs(group)
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         bands, out = Bands(percent), []
-        for a, b in zip(np.append(0, ends[:-1]), ends):
-            who = np.unique(owner[a:b])
-            if b - a <= ALL_PAIRS or len(np.unique(comps[who])) < 2:
-                continue
-            width = min(len(drawn[i]) for i in who)
-            bits = np.stack([fold(drawn[i], width) for i in who])
-            for x in range(len(who) - 1):
-                y = np.flatnonzero(comps[who[x + 1 :]] != comps[who[x]]) + x + 1
-                differ = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64)
-                y = y[differ <= bands.most(sizes[who[y]], sizes[who[x]])]
-                out.append(np.stack((np.full(len(y), ids[who[x]]), ids[who[y]]), 1))
+        for _, group in rows.groupby("g", sort=False):
+            ids, comps, sizes = (group[c].to_numpy("i8") for c in ("a", "comp", "size"))
+            drawn = [np.frombuffer(x, np.uint64) for x in group["bits"]]
+            width = min(map(len, drawn))
+            bits = np.stack([fold(x, width) for x in drawn])
+            for x in range(len(ids) - 1):
+                y = np.flatnonzero(comps[x + 1 :] != comps[x]) + x + 1
+                y = y[np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1, dtype=np.int64) <= bands.most(sizes[y], sizes[x])]
+                if len(y):
+                    out.append(np.stack((np.full(len(y), ids[x]), ids[y]), 1))
         pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0) if out else np.zeros((0, 2), "i8")
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return packed.groupBy("bucket").applyInPandas(run, "a long, b long")
+    return members.withColumn("task", F.pmod(F.xxhash64("g"), F.lit(tasks))).groupBy("task").applyInPandas(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The distinct pairs (a, b) whose sets are similar: sizes and sketches rule most out, then sets are intersected."""
-    spark = docs.sparkSession
+def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, sketches): the distinct pairs (a, b) whose sets are similar; sizes and sketches (id, size, bits) rule most out, then sets are intersected."""
     pairs = written(pairs.where("a < b").distinct(), "jaccard-pairs")
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,7 +264,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     drawn = written(chosen(pairs).mapInPandas(draw, "id long, size long, bits binary"), "jaccard-sketches")
     left = written(sided(pairs, drawn).mapInPandas(rule_out, "a long, b long"), "jaccard-left")
     sets = written(chosen(left).mapInPandas(collect, "id long, elements binary"), "jaccard-sets")
-    return written(sided(left, sets).mapInPandas(intersect, "a long, b long"), "jaccard-links")
+    return written(sided(left, sets).mapInPandas(intersect, "a long, b long"), "jaccard-links"), drawn
 
 
 def jaccard_join(docs: DataFrame, percent: int = 80, n: int = 5, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -295,18 +285,19 @@ def jaccard_join(docs: DataFrame, percent: int = 80, n: int = 5, doc_id: str = "
     # Rows of a class beyond its least are left out; they are listed, not the classes, as they are the fewer in most corpora.
     spare = written(usable.join(reps.where("rows > 1"), ["h1", "h2", "size"]).where("id <> class_id").groupBy("id").agg(F.min("class_id").alias("class_id")), "jaccard-copies")
     single = d.where("id is not null and t is not null").join(_few(spare.select("id")), "id", "left_anti")
-    packed = _pack(single.withColumn("comp", F.col("id")), n, percent, buckets, sketched=False)
-    found = written(candidates(packed), "jaccard-candidates")
-    links = verified(found.where("b is not null"), single, n, percent)
+    found = written(candidates(_pack(single, n, percent, buckets)), "jaccard-candidates")
+    links, drawn = verified(found.where("b is not null"), single, n, percent)
     parts = written(connected_components(links, "a", "b", "jaccard"), "jaccard-components")
-    crowd = written(found.where("b is null").select(F.col("a").alias("id")).distinct(), "jaccard-crowd")
-    if crowd.take(1):
-        named = crowd.join(parts.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"))
-        again = _pack(single.join(_few(named), "id"), n, percent, buckets, sketched=True)
-        more = written(cross_candidates(again, percent).distinct(), "jaccard-cross").join(links, ["a", "b"], "left_anti")
+    # Signatures of many classes gave a star each: what is still in different components is compared, sketch by sketch.
+    crowd = found.where("b is null").select("g", "a").distinct().join(parts.withColumnRenamed("node", "a"), "a", "left").select("g", "a", F.coalesce("component", "a").alias("comp"))
+    mixed = crowd.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("g")
+    crowd = written(crowd.join(mixed, "g", "left_semi"), "jaccard-crowd")
+    if rows := crowd.count():
+        seen = crowd.join(drawn.withColumnRenamed("id", "a"), "a")
+        more = cross_candidates(seen, percent, max(partitions(spark), math.ceil(rows / CROWD_ROWS))).distinct().join(links, ["a", "b"], "left_anti")
         more = written(more, "jaccard-more")
         if more.take(1):
-            links = written(links.unionByName(verified(more, single, n, percent)), "jaccard-links")
+            links = written(links.unionByName(verified(more, single, n, percent)[0]), "jaccard-links")
             parts = written(connected_components(links, "a", "b", "jaccard"), "jaccard-components")
     members = described.join(spare, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
     members = members.join(parts.withColumnRenamed("node", "class_id"), "class_id", "left")
