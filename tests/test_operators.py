@@ -314,3 +314,14 @@ def test_stats_and_lookup(spark):
     assert metrics.rouge is not None
     r = spark.createDataFrame([("the cat", ["the cat sat", "dog"])], "p string, r array<string>").select(metrics.rouge("p", "r").alias("x")).first()["x"]
     assert r["rouge1"] == pytest.approx(0.8) and r["rougeL"] == pytest.approx(0.8)
+
+
+def test_english_and_phrases(spark):
+    from loquarium.functions import english, phrases
+
+    assert english.clean("Dr. Smith paid $3.50 at 10:05 on the 21st, 1,200 times & 2.5") == "doctor smith paid three dollars fifty cents at ten oh five on the twenty-first one thousand two hundred times and two point five"
+    assert [english.ordinal(n) for n in (1, 12, 20, 105)] == ["first", "twelfth", "twentieth", "one hundred fifth"]
+    df = spark.createDataFrame([("aa bb cc", [(0, 2, "x", 0.9), (1, 4, "y", 0.6), (6, 8, "zz", 0.7), (3, 5, "q", 0.1)])], "t string, r array<struct<begin:int,end:int,text:string,weight:double>>")
+    assert df.select(phrases.substitute("t", "r").alias("y")).first()["y"] == "x bb zz"
+    cost, pairs = phrases.align(list("abc"), list("axc"), {("b", "x"): 1.0})
+    assert cost == 1.0 and pairs == [("a", "a"), ("b", "x"), ("c", "c")]
