@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loquarium.llm.common import new_path, table
+from loquarium.llm.common import new_path, table, written
 from loquarium.llm.decontaminate import decontaminate
 from loquarium.llm.jaccard_join import BROADCAST_IDS, jaccard_join
 from loquarium.llm.language_id import identify, teaching, train
@@ -22,7 +22,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs but for those whose doc_id is in ids; null doc_ids stay."""
-    few = ids.where("doc_id is not null").select("doc_id").distinct()
+    few = written(ids.where("doc_id is not null").select("doc_id").distinct(), "dropped")
     return docs.join(F.broadcast(few) if few.count() <= BROADCAST_IDS else few, "doc_id", "left_anti").select(*COLUMNS)
 
 
