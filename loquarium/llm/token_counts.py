@@ -25,7 +25,10 @@ FILES = "part int, path string, n_bytes long, width int"
 
 
 def write_flat(docs: DataFrame, folder: str, tokenizer: str, drops_space: bool, end_id: int, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(files, members): one flat file for each range of doc_ids, and which doc_id is its how-manieth document."""
+    """(files, members): one flat file for each input partition, in its order, and which doc_id is its how-manieth document.
+
+    Texts are not moved: a file is as large as the ids of one input split.
+    """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, part, out, size, at, path = encoder(tokenizer, drops_space), TaskContext.get().partitionId(), None, 0, 0, ""
@@ -43,7 +46,7 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, drops_space: bool,
             out.close()
             yield pd.DataFrame({"part": [part], "nth": [-1], "doc_id": pd.array([pd.NA], dtype="Int64"), "path": [path], "n_bytes": [size], "width": [enc.dtype.itemsize]})
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).repartitionByRange(partitions(docs.sparkSession), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
     both = written(rows.mapInPandas(write, "part int, nth long, doc_id long, path string, n_bytes long, width int"), "flat-files")
     return both.where("nth < 0").select("part", "path", "n_bytes", "width"), both.where("nth >= 0").select("part", "nth", "doc_id")
 
