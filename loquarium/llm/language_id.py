@@ -198,8 +198,10 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     """A model of the languages in docs; rows with a null id, text or language teach nothing."""
     d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"), F.col(lang).alias("l")).where("id is not null and t is not null and l is not null")
     key = F.xxhash64("id", F.lit(7))
-    # The rank limit is applied before the shuffle, so a frequent language is no large task.
-    chosen = d.select("id", "l", key.alias("k")).withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("k", "id"))).where(F.col("r") <= SAMPLE_ROWS)
+    # Twice the bound are drawn by hash before they are ranked, so a frequent language is no large task.
+    share = d.groupBy("l").agg(F.least(F.lit(1.0), 2 * SAMPLE_ROWS / F.count("*")).alias("share"))  # a row for each language
+    drawn = d.select("id", "l", key.alias("k")).join(F.broadcast(share), "l").where(F.pmod("k", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    chosen = drawn.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("k", "id"))).where(F.col("r") <= SAMPLE_ROWS)
     chosen = chosen.select("id", "l", (F.pmod("r", F.lit(HELD)) == 0).alias("held")).distinct()
     rows = d.join(F.broadcast(chosen), ["id", "l"])  # at most SAMPLE_ROWS a language
 
