@@ -34,7 +34,7 @@ ALL_PAIRS = 8
 #: Dealings of the domain before empty partitions sign too.
 LEVELS = 6
 #: Signatures that one bucket holds, about; and classes signed together.
-BUCKET_SIGNATURES, BATCH_DOCS = 1_500_000, 2000
+BUCKET_SIGNATURES, BATCH_DOCS = 1_000_000, 1000
 #: Members of crowded signatures that one task compares, about.
 CROWD_ROWS = 50_000
 #: Rows of ids up to which an id list is broadcast (16 bytes a row); beyond, the join is shuffled.
