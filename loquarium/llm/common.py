@@ -53,6 +53,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def drawn(df: DataFrame, key: Column, rows: int, most: int) -> DataFrame:
+    """About twice ``most`` of a table's counted rows, by a hash (all of a smaller table); then the ``most`` least hashes.
+
+    Tasks rank what was drawn alone, so what they return does not grow with their number.
+    """
+    share = int(min(1.0, 2 * most / max(rows, 1)) * (1 << 30))
+    some = df.withColumn("_key", key).where(F.pmod("_key", F.lit(1 << 30)) < share)
+    return some.orderBy("_key").limit(most).drop("_key")
+
+
 def plan_broadcast(df: DataFrame, rows: int, most: int) -> DataFrame:
     """A broadcast hint where the counted rows are few enough; else Spark chooses a shuffled join."""
     return F.broadcast(df) if rows <= most else df

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loquarium.llm.common import new_path, partitions, written
+from loquarium.llm.common import drawn, new_path, partitions, written
 from loquarium.llm.files import new_file, open_input, open_output
 from loquarium.llm.tokens import encoder
 
@@ -39,8 +39,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, drops_space: bool, end_id:
     """Dictionary bytes from a bounded sample (least hashes of doc_id); empty where the sample is too small to train on."""
     import zstandard
 
-    some = docs.select(F.xxhash64(doc_id).alias("k"), F.col(text).alias("t")).where(F.length("t").between(1, SAMPLE_CHARS)).orderBy("k", "t").limit(SAMPLE_DOCS)
-    texts = [r["t"] for r in some.collect()]
+    some = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
+    texts = [r["t"] for r in drawn(some.where(F.length("t").between(1, SAMPLE_CHARS)), F.xxhash64("id"), docs.count(), SAMPLE_DOCS).collect()]
     enc = encoder(tokenizer, drops_space)
     end = np.array([end_id], enc.dtype).tobytes()
     ids = [x + end for x in enc.encode(texts)]

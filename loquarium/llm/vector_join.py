@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loquarium.llm.common import connected_components, partitions, written
+from loquarium.llm.common import connected_components, drawn, written
 
 BLOCKS = 4
 #: Vectors in a chunk, about; rows and candidate pairs handled at once in a task.
@@ -221,7 +221,7 @@ def vector_join(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_i
     found = None
     for dims, count in sizes.items():
         own = usable.where(F.size("v") == dims).select("id", "n", "v")
-        sample = own.orderBy(F.xxhash64("id")).limit(SAMPLE).toPandas()
+        sample = drawn(own, F.xxhash64("id"), count, SAMPLE).toPandas()
         some = _matrix(sample["v"], dims)
         space = Space(some / np.linalg.norm(some, axis=1, keepdims=True), count, threshold)
         part = _links(own, space, threshold)
