@@ -63,6 +63,8 @@ class ChunkEncoder:
         self.model = self.tok.model
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 0xFFFF else np.dtype("<u4")  # the same letters name array()'s types
         self.drops_space = drops_space
+        # Lower-cased chunks without white space repeat more, so half the entries do.
+        self.most_chunks, self.most_pieces = (CHUNK_ENTRIES // 2, PIECE_ENTRIES // 2) if drops_space else (CHUNK_ENTRIES, PIECE_ENTRIES)
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -70,7 +72,7 @@ class ChunkEncoder:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if len(self.pieces) >= PIECE_ENTRIES:
+        if len(self.pieces) >= self.most_pieces:
             self.pieces.clear()
         letters = piece.encode().decode("latin-1").translate(_LETTERS)
         self.pieces[piece] = found = array(self.dtype.char, [t.id for t in self.model.tokenize(letters)]).tobytes()
@@ -116,7 +118,7 @@ class ChunkEncoder:
             try:
                 out.append(b"".join(map(cache.__getitem__, parts)))
             except KeyError:
-                if len(cache) >= CHUNK_ENTRIES:
+                if len(cache) >= self.most_chunks:
                     cache.clear()
                 for p in parts:
                     if p not in cache:
