@@ -22,6 +22,8 @@ from loquarium.llm.common import written
 ROLL, ONE_IN, MOST = 2, 4, 16
 #: A removable chunk has this many lines and characters at least (shorter ones repeat by chance).
 LEAST_LINES, LEAST_CHARS = 2, 100
+#: Bits of the map of documents that a join concerns (2 MB).
+SLOTS = 1 << 24
 _MASK = (1 << 64) - 1
 
 
@@ -69,6 +71,19 @@ def _bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["id", "line", "n", "first_id", "first_line", "body"])
 
 
+def _flagged(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """docs with _maybe: false only where the key is surely not among ids (column id).
+
+    A bitmap of fixed size (SLOTS bits in rows of 64) tells; it is broadcast whatever the corpus, and
+    rows it clears need not be moved for a join.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
+    words = ids.select(slot.alias("s")).groupBy(F.expr("s div 64").alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("_mask"))
+    d = docs.withColumn("_slot", F.pmod(F.xxhash64(F.col(f"`{key}`").cast("long")), F.lit(SLOTS))).withColumn("_word", F.expr("_slot div 64"))
+    bit = F.expr("(shiftright(_mask, cast(_slot % 64 as int)) & 1L) = 1L")
+    return d.join(F.broadcast(words), "_word", "left").withColumn("_maybe", F.coalesce(bit, F.lit(False))).drop("_word", "_slot", "_mask")
+
+
 def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, line, n): the removable chunks that repeat an earlier one, byte for byte; nulls of doc_id are left alone."""
     d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).where("id is not null and t is not null")
@@ -76,7 +91,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     dup = found.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min(F.struct("id", "line")).alias("first")).where("times > 1")
     marks = found.join(dup, ["h1", "h2"]).select("id", "line", "n", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"))
     marks = marks.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("line", "n", "first_id", "first_line"))).alias("marks"))  # of one document
-    bodies = written(d.join(marks, "id").mapInPandas(_bodies, "id long, line int, n int, first_id long, first_line int, body string"), "line-bodies")
+    marks = written(marks, "line-marks")
+    bodies = written(_flagged(d, "id", marks).where("_maybe").drop("_maybe").join(marks, "id").mapInPandas(_bodies, "id long, line int, n int, first_id long, first_line int, body string"), "line-bodies")
     first = bodies.where("id = first_id and line = first_line").groupBy("first_id", "first_line").agg(F.any_value("body").alias("kept"))
     rest = bodies.where("id <> first_id or line <> first_line").join(first, ["first_id", "first_line"]).where("body = kept")
     return written(rest.select("id", "line", "n").distinct(), "line-repeats")
@@ -91,7 +107,9 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """
     cuts = repeated_chunks(docs, doc_id, text).groupBy("id").agg(F.flatten(F.collect_list(F.sequence("line", F.col("line") + F.col("n") - 1))).alias("_cut"))
     names = [c for c in docs.columns if c != "lines_removed"]
-    wide = docs.select(*[F.col(f"`{c}`") for c in names]).join(cuts.withColumnRenamed("id", "_cut_id"), F.col(f"`{doc_id}`").cast("long") == F.col("_cut_id"), "left")
+    wide = _flagged(docs.select(*[F.col(f"`{c}`") for c in names]), doc_id, cuts)
+    some = wide.where("_maybe").join(cuts.withColumnRenamed("id", "_cut_id"), F.col(f"`{doc_id}`").cast("long") == F.col("_cut_id"), "left")
+    wide = some.drop("_maybe", "_cut_id").unionByName(wide.where("not _maybe").drop("_maybe").withColumn("_cut", F.lit(None).cast("array<int>")))
     kept = F.array_join(F.filter(F.split(F.col(f"`{text}`"), "\n", -1), lambda _, i: ~F.array_contains("_cut", i)), "\n")
     out = [F.when(F.col("_cut").isNull(), F.col(f"`{c}`")).otherwise(kept).alias(c) if c == text else F.col(f"`{c}`") for c in names]
     return wide.select(*out, F.coalesce(F.size("_cut"), F.lit(0)).cast("long").alias("lines_removed")).withColumn("lines_removed", F.greatest("lines_removed", F.lit(0)))
