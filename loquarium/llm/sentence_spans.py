@@ -14,11 +14,9 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loquarium.llm.common import written
-
 #: A span has at least so many sentences and words.
 SENTENCES, WORDS = 2, 25
 #: A sentence ends after .!?… (with closing quotes or brackets) and white space, or at a line end; very long ones are cut every ``PIECE`` words.
@@ -64,12 +62,17 @@ def spans(text: str, parts: list[tuple[int, int, int]]) -> Iterator[tuple[int, i
 
 
 def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Spans with their hash (96 bits) and whether the batch itself has an earlier one of the same hash."""
     for batch in batches:
         rows = []
         for key, text in zip(batch["id"], batch["t"]):
             for i, n, d in spans(text, sentences(text)):
-                rows.append((key, i, n, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
-        yield pd.DataFrame(rows, columns=["id", "at", "n", "h1", "h2"])
+                rows.append((key, i, n, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:12], "little", signed=True)))
+        out = pd.DataFrame(rows, columns=["id", "at", "n", "h1", "h2"]).sort_values(["id", "at"], kind="stable")
+        first = out.groupby(["h1", "h2"], sort=False)
+        out["again"] = (first["id"].transform("first") != out["id"]) | (first["at"].transform("first") != out["at"])
+        out.loc[out["again"], "h1"] = out["id"]  # known already: dealt by document, not by hash
+        yield out
 
 
 def without(text: str, drop: set[int]) -> str:
@@ -85,11 +88,15 @@ def without(text: str, drop: set[int]) -> str:
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, at, n): spans that repeat an earlier one; rows without doc_id or text have none."""
+    """(id, at, n): spans that repeat an earlier one; rows without doc_id or text have none.
+
+    Each batch of documents settles its own repeats and sends one span of a hash at most, so a passage
+    in a third of all documents comes to its task once a batch, and is read there in order, not held.
+    """
     d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).where("id is not null and t is not null")
-    found = written(d.mapInPandas(_spans, "id long, at int, n int, h1 long, h2 long"), "sentence-spans")
-    first = found.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min(F.struct("id", "at")).alias("first")).where("times > 1").select("h1", "h2", "first")
-    return found.join(first, ["h1", "h2"]).where(F.struct("id", "at") > F.col("first")).select("id", "at", "n")
+    found = d.mapInPandas(_spans, "id long, at int, n int, h1 long, h2 int, again boolean")
+    first = F.first(F.struct("id", "at")).over(Window.partitionBy("h1", "h2", "again").orderBy("id", "at"))
+    return found.withColumn("first", first).where(F.col("again") | (F.struct("id", "at") > F.col("first"))).select("id", "at", "n")
 
 
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
