@@ -1,10 +1,13 @@
-"""Line deduplication by content-defined chunks of lines.
+"""Line deduplication by content-defined chunks of lines, at two scales.
 
 A rolling hash over the hashes of the last ``ROLL`` lines chooses chunk boundaries, so a boundary
-depends on nearby lines alone and equal passages are cut alike wherever they stand.  Chunks of
-several lines whose 128-bit hash occurs more than once anywhere are compared byte by byte with the
-first occurrence (least doc_id, then place); all but the first are removed.  Chunks of one line and
-unrepeated chunks stay.
+depends on nearby lines alone and equal passages are cut alike wherever they stand.  A chunk that
+crosses an edge of a repeated passage matches nothing, so each two lines that follow each other but
+for blank ones are a piece of a second, overlapping scale: a repeated passage of two lines or more
+loses all of them, wherever boundaries lie and however short it is.  What has a 128-bit hash that
+occurs more than once anywhere is compared byte by byte with the first occurrence (least doc_id, then
+place), pieces that follow each other in both places as one run; all but the first are removed.
+A line whose neighbours differ stays, and of each distinct line one copy at least.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from loquarium.llm.common import written
 
 #: Lines under the rolling hash; one in ``ONE_IN`` lines ends a chunk; chunks end after ``MOST`` lines at the latest.
 ROLL, ONE_IN, MOST = 2, 4, 16
-#: A removable chunk has this many lines and characters at least (shorter ones repeat by chance).
+#: A removable chunk has this many lines and characters at least (shorter ones may be blank lines; pairs have no such bound).
 LEAST_LINES, LEAST_CHARS = 2, 100
 #: Bits of the map of documents that a join concerns (2 MB).
 SLOTS = 1 << 24
@@ -45,11 +48,13 @@ def chunks(lines: list[str]) -> list[tuple[int, int]]:
 
 
 def _candidates(text: str | None) -> Iterator[tuple[int, int, str]]:
-    """(first line, lines, text) of the removable chunks of a text."""
+    """(first line, lines, text) of the removable chunks and pairs of a text, in their order."""
     lines = (text or "").split("\n")
-    for first, n in chunks(lines):
-        if n >= LEAST_LINES and len(body := "\n".join(lines[first : first + n])) >= LEAST_CHARS:
-            yield first, n, body
+    full = [i for i, x in enumerate(lines) if x.strip()]
+    pairs = {(a, b + 1 - a) for a, b in zip(full, full[1:])}
+    large = {(first, n) for first, n in chunks(lines) if n >= LEAST_LINES and sum(map(len, lines[first : first + n])) + n - 1 >= LEAST_CHARS}
+    for first, n in sorted(pairs | large):
+        yield first, n, "\n".join(lines[first : first + n])
 
 
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -62,6 +67,20 @@ def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["id", "line", "n", "h1", "h2"])
 
 
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Repeats of a document that overlap or meet, and do so where they occur first, as one."""
+    for batch in batches:
+        rows = []
+        for key, marks in zip(batch["id"], batch["marks"]):
+            last = None
+            for m in marks:  # sorted by first_id, shift, line
+                if last and last[3] == m["first_id"] and last[1] - last[4] == m["shift"] and m["line"] <= last[1] + last[2]:
+                    last[2] = max(last[2], m["line"] + m["n"] - last[1])
+                else:
+                    rows.append(last := [key, m["line"], m["n"], m["first_id"], m["line"] - m["shift"]])
+        yield pd.DataFrame(rows, columns=["id", "line", "n", "first_id", "first_line"])
+
+
 def _bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -85,27 +104,29 @@ def _flagged(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, line, n): the removable chunks that repeat an earlier one, byte for byte; nulls of doc_id are left alone."""
+    """(id, line, n): the runs of lines that repeat earlier ones, byte for byte, and may overlap; nulls of doc_id are left alone."""
     d = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).where("id is not null and t is not null")
     found = written(d.mapInPandas(_hashes, "id long, line int, n int, h1 long, h2 long"), "line-chunks")
     dup = found.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min(F.struct("id", "line")).alias("first")).where("times > 1")
-    marks = found.join(dup, ["h1", "h2"]).select("id", "line", "n", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line"))
-    marks = marks.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("line", "n", "first_id", "first_line"))).alias("marks"))  # of one document
-    marks = written(marks, "line-marks")
+    mark = F.struct(F.col("first.id").alias("first_id"), (F.col("line") - F.col("first.line")).alias("shift"), "line", "n")
+    marks = found.join(dup, ["h1", "h2"]).where("id <> first.id or line <> first.line").groupBy("id").agg(F.sort_array(F.collect_set(mark)).alias("marks"))  # of one document
+    runs = written(marks.mapInPandas(_runs, "id long, line int, n int, first_id long, first_line int"), "line-runs")
+    firsts = runs.select(F.col("first_id").alias("id"), F.col("first_line").alias("line"), "n", "first_id", "first_line").distinct()
+    marks = written(runs.unionByName(firsts).groupBy("id").agg(F.collect_set(F.struct("line", "n", "first_id", "first_line")).alias("marks")), "line-marks")
     bodies = written(_flagged(d, "id", marks).where("_maybe").drop("_maybe").join(marks, "id").mapInPandas(_bodies, "id long, line int, n int, first_id long, first_line int, body string"), "line-bodies")
-    first = bodies.where("id = first_id and line = first_line").groupBy("first_id", "first_line").agg(F.any_value("body").alias("kept"))
-    rest = bodies.where("id <> first_id or line <> first_line").join(first, ["first_id", "first_line"]).where("body = kept")
+    first = bodies.where("id = first_id and line = first_line").groupBy("first_id", "first_line", "n").agg(F.any_value("body").alias("kept"))
+    rest = bodies.where("id <> first_id or line <> first_line").join(first, ["first_id", "first_line", "n"]).where("body = kept")
     return written(rest.select("id", "line", "n").distinct(), "line-repeats")
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows and columns of docs, the text without repeated chunks, and lines_removed (long).
+    """All rows and columns of docs, the text without repeated runs of lines, and lines_removed (long).
 
     Null and empty texts stay as they are.  Rows that share a doc_id lose the same lines, and the
     repeats between two equal rows do not count.  Clashing column names are not possible but for
     lines_removed, which is replaced.
     """
-    cuts = repeated_chunks(docs, doc_id, text).groupBy("id").agg(F.flatten(F.collect_list(F.sequence("line", F.col("line") + F.col("n") - 1))).alias("_cut"))
+    cuts = repeated_chunks(docs, doc_id, text).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("line", F.col("line") + F.col("n") - 1)))).alias("_cut"))
     names = [c for c in docs.columns if c != "lines_removed"]
     wide = _flagged(docs.select(*[F.col(f"`{c}`") for c in names]), doc_id, cuts)
     some = wide.where("_maybe").join(cuts.withColumnRenamed("id", "_cut_id"), F.col(f"`{doc_id}`").cast("long") == F.col("_cut_id"), "left")

@@ -303,6 +303,19 @@ def test_line_dedup(spark, word):
     assert line_dedup.line_dedup(docs(spark, [])).count() == 0
 
 
+def test_line_dedup_of_short_passages(spark, word):
+    line = lambda n=12: " ".join(word(n))
+    passages = [[line() for _ in range(n)] for n in (2, 2, 2, 3, 3, 4, 5, 8)] + [["Ab.", "Cd."], [line(), "", " ", line()]]
+    lone = line()
+    texts = ["\n".join([line()] + p + [lone, line()]) for p in passages] + ["\n".join([line()] + p + [lone, line(), ""]) for p in passages] + ["\n".join([line(), "", line(), ""]) for _ in range(3)]
+    got = {r["doc_id"]: r for r in line_dedup.line_dedup(docs(spark, texts)).collect()}
+    k = len(passages)
+    for i, t in enumerate(texts):
+        lines = t.split("\n")  # the line after a passage goes too, as both stand in the first text
+        gone = len(passages[i - k]) + 1 if k <= i < 2 * k else 0
+        assert got[i]["lines_removed"] == gone and got[i]["text"] == "\n".join(lines[:1] + lines[1 + gone :] if gone else lines)
+
+
 # --- Jaccard
 
 
