@@ -135,8 +135,10 @@ def _pack(docs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), BATCH_DOCS):
                 some = batch.iloc[at : at + BATCH_DOCS]
-                ids = some["id"].to_numpy("i8")
-                owner, sig = sign(list(shingle_sets(some["t"].tolist(), n)), bands)
+                sets = list(shingle_sets(some["t"].tolist(), n))
+                full = [i for i, x in enumerate(sets) if len(x)]  # empty sets link with nothing
+                ids = some["id"].to_numpy("i8")[full]
+                owner, sig = sign([sets[i] for i in full], bands)
                 bucket = (sig >> np.uint64(48)).astype(np.int64) * buckets >> 16
                 order = np.lexsort((owner, bucket))
                 owner, sig, bucket = owner[order], sig[order], bucket[order]
@@ -249,7 +251,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> tuple[D
                 both = np.concatenate((x, y))
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                keep.append(shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.loc[keep, ["a", "b"]]
 
     def chosen(p: DataFrame) -> DataFrame:

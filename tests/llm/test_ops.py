@@ -359,6 +359,19 @@ def test_jaccard_join(spark, word, monkeypatch, all_pairs):
     assert jj.jaccard_join(docs(spark, []))[0].count() == 0
 
 
+@pytest.mark.parametrize("blank", [3, 12])
+def test_jaccard_join_links_no_wordless_texts(spark, word, blank):
+    base = " ".join(word(30))
+    texts = ["", " ", "\n\t "] * blank + [None, None, base, base + " ", base + " more"]
+    members, links = jj.jaccard_join(docs(spark, texts))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in members.collect()}
+    k = 3 * blank + 2
+    assert got == {i: (0, i) for i in range(k)} | {k: (26, k), k + 1: (26, k), k + 2: (27, k)}
+    assert links.count() == 1
+    twice = docs(spark, ["", base]).unionAll(docs(spark, ["", " ".join(word(30))])).withColumn("doc_id", F.when(F.col("text") == base, 0).otherwise(F.col("doc_id")))
+    assert all(r["component_id"] == r["doc_id"] for r in jj.jaccard_join(twice)[0].collect())
+
+
 def test_signatures_miss_no_similar_sets():
     rng = np.random.default_rng(1)
     bands = jj.Bands(80)
