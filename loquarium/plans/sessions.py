@@ -113,7 +113,7 @@ def noise_grid(spark, d):
 
 def transcript_pipeline(spark, d):
     """Sentences as aligned units of three seconds: all stages, and every unit kept or rejected."""
-    s = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("input_id"), F.posexplode(F.slice(F.split("text", r"\. "), 1, 5)).alias("i", "text"))
+    s = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("input_id"), F.posexplode(F.split("text", r"\. ")).alias("i", "text"))
     units = s.select("input_id", F.lit("b").alias("block_id"), (F.col("i") * 3.0).alias("start"), (F.col("i") * 3.0 + F.least(F.length("text") / 20, F.lit(40.0))).alias("end"), "text")
     out = pipeline.run(units, pipeline.Settings(lang="es"), [("es", "m1", backends.EchoRecogniser), ("es", "m2", backends.EchoRecogniser)], backends.MarkerIdentifier, backends.CapitalPunctuator)
     return out.rejects.groupBy("stage", "reason").count().unionByName(out.merged.groupBy(F.lit("kept").alias("stage"), F.lit(None).cast("string").alias("reason")).count())

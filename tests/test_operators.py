@@ -325,3 +325,11 @@ def test_english_and_phrases(spark):
     assert df.select(phrases.substitute("t", "r").alias("y")).first()["y"] == "x bb zz"
     cost, pairs = phrases.align(list("abc"), list("axc"), {("b", "x"): 1.0})
     assert cost == 1.0 and pairs == [("a", "a"), ("b", "x"), ("c", "c")]
+
+
+def test_transcript_pipeline_takes_every_sentence(spark, tmp_path):
+    from loquarium.plans import sessions
+
+    texts = [". ".join(f"frase {i} del texto numero {k} con palabras de sobra para durar" for i in range(n)) for k, n in enumerate((3, 5, 6, 40))]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sum(r["count"] for r in sessions.transcript_pipeline(spark, str(tmp_path)).collect()) == 54
