@@ -95,16 +95,18 @@ def punctuation_error_rate(df: DataFrame, ref: str, hyp: str, marks: str = ".,!?
 
 def answer_scores(df: DataFrame, pred: str, refs: str) -> DataFrame:
     """Adds exact and f1 (0 to 1): the best over an array of references, bags of normalised words."""
-    p = edit.tokens(normalise_answer(F.col(pred)))
+    # Columns of their own: lambdas would normalise again for each word.
+    d = df.withColumns({"_pn": normalise_answer(F.col(pred)), "_rn": F.transform(F.col(refs), normalise_answer)})
+    d = d.withColumns({"_p": edit.tokens(F.col("_pn")), "_r": F.transform("_rn", edit.tokens)}).withColumn("_set", F.array_distinct("_p"))
+    p = F.col("_p")
 
-    def f1(ref: Column) -> Column:
-        r = edit.tokens(normalise_answer(ref))
-        shared = F.aggregate(F.transform(F.array_distinct(p), lambda t: F.least(F.size(F.filter(p, lambda x: x == t)), F.size(F.filter(r, lambda x: x == t)))), F.lit(0), lambda a, x: a + x)
+    def f1(r: Column) -> Column:
+        shared = F.aggregate(F.transform("_set", lambda t: F.least(F.size(F.filter(p, lambda x: x == t)), F.size(F.filter(r, lambda x: x == t)))), F.lit(0), lambda a, x: a + x)
         both = shared * 2.0 / (F.size(p) + F.size(r))
         return F.when((F.size(p) == 0) | (F.size(r) == 0), (F.size(p) == F.size(r)).cast("double")).when(shared == 0, F.lit(0.0)).otherwise(both)
 
-    exact = F.array_max(F.transform(F.col(refs), lambda r: (normalise_answer(r) == normalise_answer(F.col(pred))).cast("int")))
-    return df.withColumns({"exact": exact, "f1": F.array_max(F.transform(F.col(refs), f1))})
+    exact = F.array_max(F.transform("_rn", lambda r: (r == F.col("_pn")).cast("int")))
+    return d.withColumns({"exact": exact, "f1": F.array_max(F.transform("_r", f1))}).drop("_pn", "_rn", "_p", "_r", "_set")
 
 
 def _lcs(a: list, b: list) -> int:

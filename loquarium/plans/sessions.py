@@ -24,7 +24,7 @@ def rouge_scores(spark, d):
 
 def cp_wer(spark, d):
     """Roles as speakers; the other side names them by number and loses every e."""
-    c = table(spark, d, "conversations").select("conv_id", F.col("turn").alias("ord"), "role", F.substring("text", 1, 80).alias("t"))
+    c = table(spark, d, "conversations").select("conv_id", F.col("turn").alias("ord"), "role", F.col("text").alias("t"))
     ref = c.select("conv_id", "ord", F.col("role").alias("speaker"), F.col("t").alias("ref"), F.lit(None).cast("string").alias("hyp"))
     hyp = c.select("conv_id", "ord", F.when(F.col("role") == "user", "2").otherwise("1").alias("speaker"), F.lit(None).cast("string").alias("ref"), F.replace("t", F.lit("e"), F.lit("")).alias("hyp"))
     return metrics.cp_wer(ref.unionByName(hyp), "conv_id", "speaker", "ref", "hyp")

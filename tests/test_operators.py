@@ -333,3 +333,17 @@ def test_transcript_pipeline_takes_every_sentence(spark, tmp_path):
     texts = [". ".join(f"frase {i} del texto numero {k} con palabras de sobra para durar" for i in range(n)) for k, n in enumerate((3, 5, 6, 40))]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sum(r["count"] for r in sessions.transcript_pipeline(spark, str(tmp_path)).collect()) == 54
+
+
+def test_answers_and_cp_wer_take_whole_turns(spark, tmp_path):
+    from loquarium.plans import scoring, sessions
+
+    long = " ".join(f"palabra{i}" for i in range(40))
+    turns = [(1, 0, "user", long + " uno"), (1, 1, "assistant", long + " dos"), (1, 2, "user", "x"), (1, 3, "assistant", long + " tres")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(0, "otra"), (5, long + " tres")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r["turn"]: (r["exact"], r["f1"]) for r in scoring.qa_f1_em(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, pytest.approx(40 / 41)), 3: (0, 0.0)}
+    best = scoring.metric_max_over_refs(spark, str(tmp_path)).first()
+    assert (best["n"], best["exact"], best["f1"]) == (2, 1, pytest.approx((40 / 41 + 1) * 50, abs=1e-5))
+    assert sessions.cp_wer(spark, str(tmp_path)).first()["words"] == 41 * 3 + 1
