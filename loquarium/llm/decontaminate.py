@@ -1,11 +1,10 @@
-"""Benchmark decontamination by winnowing, in DataFrame functions alone.
-
-Windows are ``WINDOW`` consecutive item words.  Every ``GRAM``-gram is hashed; a window's fingerprint
-is the least hash among its ``WINDOW - GRAM + 1`` grams, so any shared window has the same
-fingerprint on both sides and none is missed.  Document fingerprints are joined with the items';
-hits are extended to the whole window (a second, independent 64-bit hash over all its words), and
-hit windows are united into word spans.  Items shorter than a window are one window of their own
-length.
+"""Benchmark decontamination by hashes of windows, in DataFrame functions alone.
+
+Windows are ``WINDOW`` consecutive item words.  Every ``GRAM``-gram is hashed; a window's print is the
+least hash among its ``WINDOW - GRAM + 1`` grams, and a second, independent 64-bit hash stands for all
+its words.  Every window of a document is joined with the items' on both at once: fingerprints are
+not selected first and hits not extended, as winnowing proper would.  Hit windows are united into
+word spans.  Items shorter than a window are one window of their own length.
 """
 
 from __future__ import annotations
