@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loquarium.functions import english
 from loquarium.operators import align, curation, metrics, stats, vad
 from loquarium.plans import backends, pipeline
-from loquarium.plans.tables import HYP_SQL, SPAN_SQL, hypotheses, references, spans, table, word_errors_sql
+from loquarium.plans.tables import HYP_SQL, SPAN_SQL, hypotheses, references, spans, table, whole_references, word_errors_sql
 from loquarium.sources import readers
 from loquarium.streaming import events as stream
 
@@ -52,7 +52,7 @@ select doc_id, cast(length(t) * 3 - 1 as integer) last_frame, cast(length(t) * 2
 
 def stitch_buffers(spark, d):
     """Overlapping buffers of ten words, a step of six, folded back to the text."""
-    w = references(spark, d).select("doc_id", F.filter(F.split("ref", " "), lambda t: t != "").alias("w")).where("size(w) > 10")
+    w = whole_references(spark, d).select("doc_id", F.filter(F.split("ref", " "), lambda t: t != "").alias("w")).where("size(w) > 10")
     at = F.sequence(F.lit(0), F.ceil((F.size("w") - 10) / 6).cast("int"))
     b = w.select("doc_id", F.posexplode(F.transform(at, lambda i: F.slice("w", i * 6 + 1, F.lit(10)))).alias("i", "tokens"))
     return align.stitch_buffers(b, ["doc_id"], "i", "tokens", 10).select("doc_id", F.size("tokens").alias("n"))

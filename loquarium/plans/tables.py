@@ -16,6 +16,11 @@ def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "lang", ref.alias("ref"))
 
 
+def whole_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of whole texts, for queries without SQL."""
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", F.regexp_replace(F.lower("text"), "[^a-z ]", "").alias("ref"))
+
+
 def hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ref, i, model, hyp): four systems, the first without errors."""
     r = F.col("ref")

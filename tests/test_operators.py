@@ -347,3 +347,11 @@ def test_answers_and_cp_wer_take_whole_turns(spark, tmp_path):
     best = scoring.metric_max_over_refs(spark, str(tmp_path)).first()
     assert (best["n"], best["exact"], best["f1"]) == (2, 1, pytest.approx((40 / 41 + 1) * 50, abs=1e-5))
     assert sessions.cp_wer(spark, str(tmp_path)).first()["words"] == 41 * 3 + 1
+
+
+def test_stitch_buffers_takes_whole_texts(spark, tmp_path):
+    from loquarium.plans import sessions
+
+    rows = [(k, "en", " ".join("w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(n))) for k, n in ((1, 301), (2, 16), (3, 1))]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["n"] for r in sessions.stitch_buffers(spark, str(tmp_path)).collect()} == {1: 301, 2: 16}
