@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +23,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; where it is unset (local tests), a temporary one."""
+    """The folder in spark.checkpoint.dir, which all executors share.
+
+    Where it is unset, a temporary one on a single machine (master local[…]); on a cluster, whose
+    executors would each write to a disk of their own, that is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not (master := spark.sparkContext.master).startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="loquarium-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -49,6 +57,45 @@ def removed(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def tidied(kernel: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A kernel for mapInPandas after whose last batch the worker gives memory back; workers outlive tasks."""
+
+    @functools.wraps(kernel)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from kernel(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Frees what a task has left: garbage, Arrow's pool and the allocator's free pages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # no glibc
+        pass
+
+
+#: Rows in an Arrow batch of whole texts; Spark's own 10 000 can be hundreds of megabytes.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS rows, for kernels that get whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -76,21 +123,26 @@ def connected_components(edges: DataFrame, a: str, b: str, label: str) -> DataFr
     the logarithm of the longest path.  Null ends and self-loops are ignored.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    spark = e.sparkSession
-    e = written(e, f"{label}-edges")
-    before, path = None, e.inputFiles()[0].rpartition("/")[0] if e.inputFiles() else None
+    spark, before, old = e.sparkSession, None, []
+
+    def kept(df: DataFrame) -> DataFrame:
+        out = written(df, f"{label}-edges")
+        old.extend({f.rpartition("/")[0] for f in out.inputFiles()[:1]})
+        return out
+
+    e = kept(e)
     while True:
+        # The least neighbours are written before they are joined: a plain join of a star's many edges with one row can be split by AQE.
         both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = kept(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        low2 = kept(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionAll(low2.select("u", F.col("m").alias("v"))).distinct()
-        e = written(small, f"{label}-edges")
+        past, old = old, []
+        e = kept(small)
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if path:
+        for path in past:
             removed(spark, path)
-        files = e.inputFiles()
-        path = files[0].rpartition("/")[0] if files else None
         if before is not None and tuple(now) == before:
             break
         before = tuple(now)

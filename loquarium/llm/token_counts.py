@@ -16,22 +16,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loquarium.llm.common import new_path, partitions, written
+from loquarium.llm.common import new_path, partitions, plan_broadcast, small_batches, tidied, written
 from loquarium.llm.files import new_file, open_output, read_range
 from loquarium.llm.tokens import encoder
 
 BLOCK_BYTES = 4 << 20
+#: Files up to which the table of their places is broadcast (16 bytes a row); beyond, the join is shuffled.
+BROADCAST_FILES = 1_000_000
 FILES = "part int, path string, n_bytes long, width int"
 
 
 def write_flat(docs: DataFrame, folder: str, tokenizer: str, drops_space: bool, end_id: int, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(files, members): one flat file for each input partition, in its order, and which doc_id is its how-manieth document.
 
-    Texts are not moved: a file is as large as the ids of one input split.
+    Texts are not moved: a file is as large as the ids of one input split.  The string of a special
+    token inside a text is ordinary text, so that a text never holds the separator.
     """
+    small_batches(docs.sparkSession)
 
+    @tidied
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, part, out, size, at, path = encoder(tokenizer, drops_space), TaskContext.get().partitionId(), None, 0, 0, ""
+        enc, part, out, size, at, path = encoder(tokenizer, drops_space, specials=False), TaskContext.get().partitionId(), None, 0, 0, ""
         end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
             if out is None:
@@ -77,7 +82,7 @@ def scan(files: DataFrame, end_id: int, block_bytes: int = BLOCK_BYTES) -> DataF
     ids = files.select("part", F.expr("n_bytes div width").alias("ids"))
     open_end = tail.join(ids, "part").where("sep + 1 < ids").select("part", "nth", (F.col("sep") + 1).alias("at"), (F.col("ids") - F.col("sep") - 1).alias("n_tokens"), F.lit(False).alias("ended"))
     base = ids.select("part", F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # a row for each file
-    return docs.unionByName(open_end).join(F.broadcast(base), "part").select("part", "nth", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ended")
+    return docs.unionByName(open_end).join(plan_broadcast(base, files.count(), BROADCAST_FILES), "part").select("part", "nth", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ended")
 
 
 def token_counts(spark: SparkSession, docs: DataFrame, tokenizer: str, drops_space: bool, end_id: int) -> DataFrame:

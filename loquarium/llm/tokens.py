@@ -51,15 +51,19 @@ class ChunkEncoder:
     """ids of whole texts as little-endian ``uint16`` or ``uint32`` bytes (``dtype``).
 
     ``drops_space``: the vocabulary lower-cases and removes white space before merging.
-    Strings of special tokens inside a text count as ordinary text.
+    ``specials``: the string of a special token inside a text is that token, as the library has it by
+    default (it encodes such a text whole); else it is ordinary text.
     """
 
-    def __init__(self, path: str, drops_space: bool):
+    def __init__(self, path: str, drops_space: bool, specials: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not specials
+        names = [t.content for t in self.tok.get_added_tokens_decoder().values()] if specials else []
+        self.starts = tuple({x[0] for x in names})
+        self.special = re.compile("|".join(map(re.escape, names)), re.IGNORECASE) if names else None
         self.model = self.tok.model
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 0xFFFF else np.dtype("<u4")  # the same letters name array()'s types
         self.drops_space = drops_space
@@ -109,6 +113,9 @@ class ChunkEncoder:
             if not text:
                 out.append(b"")
                 continue
+            if self.special and any(x in text for x in self.starts) and self.special.search(text):
+                out.append(self.whole(text))
+                continue
             plain = _plain(text)
             parts = self._split(text, plain)
             if parts is None:
@@ -127,11 +134,18 @@ class ChunkEncoder:
         return out
 
 
-_encoders: dict[tuple[str, bool], ChunkEncoder] = {}
+_encoders: dict[tuple[str, bool, bool], ChunkEncoder] = {}
+
+
+def encoder(path: str, drops_space: bool, specials: bool = True) -> ChunkEncoder:
+    """The worker's encoder for a vocabulary file; made once in each Python worker, one at a time."""
+    key = path, drops_space, specials
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = ChunkEncoder(path, drops_space, specials)
+    return _encoders[key]
 
 
-def encoder(path: str, drops_space: bool) -> ChunkEncoder:
-    """The worker's encoder for a vocabulary file; made once in each Python worker."""
-    if (path, drops_space) not in _encoders:
-        _encoders[path, drops_space] = ChunkEncoder(path, drops_space)
-    return _encoders[path, drops_space]
+def forget() -> None:
+    """Drops the worker's encoder with its caches; workers outlive the tasks that need one."""
+    _encoders.clear()
