@@ -17,12 +17,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loquarium.llm.common import new_path, partitions, written
+from loquarium.llm.common import new_path, partitions, small_batches, tidied, written
 from loquarium.llm.files import new_file, open_input, open_output, read_range
 
 #: Payloads of fewer bytes are always kept whole.
 LEAST_REVISIT = 100
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 128 << 20
+#: Rows of a page_id and a digest up to which they are broadcast (about 100 bytes each).
+BROADCAST_ROWS = 500_000
 #: Fixed values of the public seekable format.
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 INDEX = "page_id long, bundle string, frame int, frame_at long, frame_size long, offset int, size int"
@@ -32,16 +34,32 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 def plan_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, html, digest, n_bytes, refers_to): html is null for revisits.
 
-    Null html is an empty payload.  Only (digest, page_id) is aggregated, with partial sums, so a
-    payload that a third of all pages share is no large task.  Rows that repeat the least page_id of
-    a payload are responses too; a null page_id never is the one referred to.
+    Null html is an empty payload.  A page is told by its page_id and digest: rows that repeat the
+    least page_id of a payload are responses too, and rows of one page_id with other payloads count by
+    themselves.  A null page_id never is the one referred to; payloads that only pages without id
+    share are all responses.  Other columns are ignored.
+
+    Bodies never move by digest, so a payload that a third of all pages share is no large task: first
+    only (digest, page_id) is aggregated, with partial sums; then pages without html learn whom they
+    repeat, in a join with written firsts that AQE can split; and the pages that are none of these
+    revisits keep their html, by a broadcast of the revisits' keys if their count allows it, else by a
+    join on page_id and digest.
     """
-    p = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    p = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("html"))
     p = p.withColumn("digest", F.sha2(F.encode("html", "UTF-8"), 256)).withColumn("n_bytes", F.octet_length("html").cast("long"))
-    first = p.where(F.col("n_bytes") >= LEAST_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    p = p.join(first, "digest", "left")
-    revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
-    return p.select("page_id", "url", F.when(~revisit, F.col("html")).alias("html"), "digest", "n_bytes", F.when(revisit, F.col("first")).alias("refers_to"))
+    large = F.col("n_bytes") >= LEAST_REVISIT
+    first = p.where(large).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null")
+    first = written(first.select("digest", "refers_to"), "warc-firsts")
+    lean = p.where(large).select("page_id", "url", "digest", "n_bytes")
+    again = lean.join(_few(first), "digest").where(~F.col("refers_to").eqNullSafe(F.col("page_id")))
+    again = written(again.select("page_id", "url", F.lit(None).cast("string").alias("html"), "digest", "n_bytes", "refers_to"), "warc-revisits")
+    keys = again.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest")).distinct()
+    whole = p.join(_few(keys), F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest")), "left_anti")
+    return whole.withColumn("refers_to", F.lit(None).cast("long")).unionByName(again)
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows.hint("merge")
 
 
 def record(page_id: int | None, url: str | None, html: str | None, digest: str, n_bytes: int, refers_to: int | None) -> bytes:
@@ -145,6 +163,9 @@ def read_record(path: str, frame_at: int, frame_size: int, offset: int, size: in
 def write_warc(pages: DataFrame, folder: str) -> DataFrame:
     """Writes a record for every page; returns the index (INDEX) as a written table."""
 
+    small_batches(pages.sparkSession)
+
+    @tidied
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, bundle, total = [x.split()[0] for x in INDEX.split(", ")], None, 0
         for batch in batches:
@@ -163,34 +184,47 @@ def write_warc(pages: DataFrame, folder: str) -> DataFrame:
     return written(plan_records(pages).mapInPandas(write, INDEX), "warc-index")
 
 
-def read_warc(bundles: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record in the bundles (column bundle)."""
+def _facts(headers: dict[str, str], block: bytes, bundle: str) -> tuple:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of a record; a damaged response is an error."""
+    ident = lambda x: int(y) if (y := x.removeprefix("<urn:page:").rstrip(">")) else None
+    head, _, body = block.partition(b"\r\n\r\n")
+    n, digest = int(head.rpartition(b"Content-Length: ")[2]), headers["WARC-Payload-Digest"].removeprefix("sha256:")
+    if headers["WARC-Type"] == "response" and (len(body) != n or hashlib.sha256(body).hexdigest() != digest):
+        raise ValueError(f"{headers['WARC-Record-ID']} in {bundle} is damaged")
+    return ident(headers["WARC-Record-ID"]), n, digest, headers["WARC-Type"], ident(headers["WARC-Refers-To"]) if "WARC-Refers-To" in headers else None
 
-    def frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path in batch["bundle"]:
-                table = seek_table(path)
-                yield pd.DataFrame({"bundle": path, "at": [x[0] for x in table], "size": [x[1] for x in table]})
 
+def read_warc(index: DataFrame) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the records that rows of an index (INDEX) place.
+
+    A frame is decompressed once for all records asked of it; its place must be one of the bundle's
+    seek table, and a record's id that of its row.  So one page, or all, are read alike.
+    """
+
+    @tidied
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ident = lambda x: int(y) if (y := x.removeprefix("<urn:page:").rstrip(">")) else None
+        tables: dict[str, set[tuple[int, int]]] = {}
+        frame, data = None, b""
         for batch in batches:
-            for path, at, size in zip(batch["bundle"], batch["at"], batch["size"]):
-                rows = []
-                for h, block in parse_records(read_frame(path, int(at), int(size))):
-                    head, _, body = block.partition(b"\r\n\r\n")
-                    n, digest = int(head.rpartition(b"Content-Length: ")[2]), h["WARC-Payload-Digest"].removeprefix("sha256:")
-                    if h["WARC-Type"] == "response" and (len(body) != n or hashlib.sha256(body).hexdigest() != digest):
-                        raise ValueError(f"{h['WARC-Record-ID']} in {path} is damaged")
-                    rows.append((ident(h["WARC-Record-ID"]), n, digest, h["WARC-Type"], ident(h["WARC-Refers-To"]) if "WARC-Refers-To" in h else None))
-                out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-                yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
-
-    n = partitions(bundles.sparkSession)
-    found = bundles.select("bundle").distinct().mapInPandas(frames, "bundle string, at long, size long").repartition(n, "bundle", "at")
-    return found.mapInPandas(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+            rows = []
+            for key, bundle, at, packed, offset, size in zip(batch["page_id"], batch["bundle"], batch["frame_at"], batch["frame_size"], batch["offset"], batch["size"]):
+                if bundle not in tables:
+                    tables[bundle] = {x[:2] for x in seek_table(bundle)}
+                if (at, packed) not in tables[bundle]:
+                    raise ValueError(f"{bundle} has no frame at byte {at}")
+                if frame != (bundle, at):
+                    frame, data = (bundle, at), read_frame(bundle, int(at), int(packed))
+                found = _facts(*next(parse_records(data[offset : offset + size])), bundle)
+                if found[0] != (None if pd.isna(key) else key):
+                    raise ValueError(f"the record at byte {offset} of frame {at} of {bundle} is not page {key}")
+                rows.append(found)
+            yield pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]).astype({"page_id": "Int64", "refers_to": "Int64"})
+
+    n = partitions(index.sparkSession)
+    dealt = index.select(*[x.split()[0] for x in INDEX.split(", ")]).repartition(n, "bundle", "frame_at").sortWithinPartitions("bundle", "frame_at", "offset")
+    return dealt.mapInPandas(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def warc_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Writes the pages as seekable bundles in the shared folder and reads every record back through the seek tables."""
+    """Writes the pages as seekable bundles in the shared folder and reads every record back by its place in the index."""
     return read_warc(write_warc(pages, new_path(spark, "warc")))
