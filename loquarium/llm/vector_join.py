@@ -5,9 +5,14 @@ dimensions, neighbouring axes to different blocks.  Vectors of cosine >= t diffe
 2(1 - t) in squared length, so in some block by at most that over the number of blocks.  Each block
 is range-joined under its share: a k-d tree cuts the block's space into leaves, leaves into chunks of
 bounded size, and pairs of chunks whose boxes are near enough meet in one task, which compares them
-in vector operations.  A pair within budget is verified with the whole vectors; the first block in
-which it is within budget counts it, so every link counts once.  A task returns for each vector its
-number of links and the least vector of its component there, never the pairs.  Copies are one class.
+in vector operations.  Which chunks meet is worked out by a join of the leaves' boxes, a row for each
+chunk's worth of vectors, and vectors are dealt to meetings by a join with that table.  A pair within
+budget is verified by the cosine of the vectors as they are given; the first block in which it is
+within budget counts it, so every link counts once.  A task returns for each vector its number of
+links and the least vector of its component there, never the pairs.  Copies are one class.
+
+The work is that of the pairs of chunks whose boxes are near: vectors that lie in few places of a
+block's space are compared with their surroundings alone, vectors that fill it evenly with most others.
 """
 
 from __future__ import annotations
@@ -20,14 +25,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loquarium.llm.common import connected_components, drawn, written
+from loquarium.llm.common import connected_components, drawn, plan_broadcast, tidied, written
 
 BLOCKS = 4
 #: Vectors in a chunk, about; rows and candidate pairs handled at once in a task.
 CHUNK, ROWS, PAIRS = 16_384, 256, 200_000
 #: The rotation and the k-d trees are fitted on so many vectors; all vectors are joined.
 SAMPLE = 8192
+#: Rows that tell which chunks meet up to which they are broadcast (60 bytes each); beyond, the join is shuffled.
+BROADCAST_SEATS = 500_000
 _SLACK = 1e-9
+_MEETING = ["block", "one", "x", "two", "y"]
 
 
 class Space:
@@ -57,7 +65,12 @@ class Space:
         return (axis, cut, self._tree(points[low], depth - 1), self._tree(points[~low], depth - 1))
 
     def turn(self, vectors: np.ndarray) -> np.ndarray:
-        return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ self.rotation
+        """Unit vectors, rotated; the same for a vector whatever others are turned with it, to the last bit."""
+        unit = vectors / _length(vectors)[:, None]
+        out = np.zeros_like(unit)
+        for k in range(self.dims):
+            out += unit[:, k : k + 1] * self.rotation[k]
+        return out
 
     def part(self, turned: np.ndarray, block: int) -> np.ndarray:
         return turned[:, self.cuts[block] : self.cuts[block + 1]]
@@ -81,8 +94,12 @@ def _matrix(column: pd.Series, dims: int) -> np.ndarray:
     return np.array(column.tolist(), np.float64).reshape(len(column), dims)
 
 
-def _boxes(reps: DataFrame, space: Space) -> pd.DataFrame:
-    """(block, leaf, axis, low, high, n) of the k-d leaves: a few rows for each chunk of vectors."""
+def _length(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors * vectors).sum(axis=1))
+
+
+def _boxes(reps: DataFrame, space: Space) -> DataFrame:
+    """(block, leaf, low, high, chunks) of the k-d leaves."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -96,30 +113,21 @@ def _boxes(reps: DataFrame, space: Space) -> pd.DataFrame:
             yield pd.DataFrame(rows, columns=["block", "leaf", "axis", "low", "high", "n"])
 
     found = reps.select("v").mapInPandas(run, "block int, leaf long, axis int, low double, high double, n long")
-    return found.groupBy("block", "leaf", "axis").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).toPandas()
-
-
-def _meetings(boxes: pd.DataFrame, budget: float) -> tuple[dict[tuple[int, int], int], dict[tuple[int, int, int], list[tuple[int, int]]]]:
-    """Chunks of each (block, leaf); and for each (block, leaf, chunk) the (meeting, side)s it takes part in."""
-    chunks: dict[tuple[int, int], int] = {}
-    seats: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
-    meeting = 0
-    for block, own in boxes.sort_values(["block", "leaf", "axis"]).groupby("block"):
-        names = own["leaf"].unique()
-        low, high = own["low"].to_numpy().reshape(len(names), -1), own["high"].to_numpy().reshape(len(names), -1)
-        for name, n in zip(names, own.groupby("leaf")["n"].first()):
-            chunks[int(block), int(name)] = max(1, math.ceil(n / CHUNK))
-        for i in range(len(names)):
-            gap = np.maximum(0, np.maximum(low[i] - high[i:], low[i:] - high[i]))
-            for j in np.flatnonzero((gap * gap).sum(axis=1) <= budget) + i:
-                for x in range(chunks[int(block), int(names[i])]):
-                    for y in range(x if i == j else 0, chunks[int(block), int(names[j])]):
-                        one, two = (int(block), int(names[i]), x), (int(block), int(names[j]), y)
-                        seats.setdefault(one, []).append((meeting, 0))
-                        if two != one:
-                            seats.setdefault(two, []).append((meeting, 1))
-                        meeting += 1
-    return chunks, seats
+    sides = found.groupBy("block", "leaf", "axis").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+    by_axis = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("axis", c))), lambda x: x[c]).alias(c)  # noqa: E731 - a block's axes
+    return sides.groupBy("block", "leaf").agg(by_axis("low"), by_axis("high"), F.ceil(F.max("n") / CHUNK).cast("int").alias("chunks"))
+
+
+def _meetings(boxes: DataFrame, budget: float) -> DataFrame:
+    """(block, leaf, chunk, one, x, two, y, side): where the vectors of each chunk take part, in the meeting of chunk x of leaf one and chunk y of leaf two."""
+    a, b = (boxes.select("block", *[F.col(c).alias(f"{c}_{k}") for c in ("leaf", "low", "high", "chunks")]) for k in "ab")
+    gap = F.zip_with(F.zip_with("low_a", "high_b", lambda x, y: x - y), F.zip_with("low_b", "high_a", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0)))
+    near = a.join(b, "block").where("leaf_a <= leaf_b").where(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x) <= budget)
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    pairs = near.select("block", F.col("leaf_a").alias("one"), F.col("leaf_b").alias("two"), upto("chunks_a").alias("x"), "chunks_b").select("*", upto("chunks_b").alias("y")).where("one < two or x <= y")
+    first = pairs.select("block", F.col("one").alias("leaf"), F.col("x").alias("chunk"), "one", "x", "two", "y", F.lit(0).alias("side"))
+    second = pairs.where("one < two or x < y").select("block", F.col("two").alias("leaf"), F.col("y").alias("chunk"), "one", "x", "two", "y", F.lit(1).alias("side"))
+    return first.unionByName(second)
 
 
 class _Groups:
@@ -139,8 +147,10 @@ class _Groups:
                 self.label = up
 
 
-def _compare(space: Space, block: int, left: np.ndarray, right: np.ndarray, same: bool, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _compare(space: Space, block: int, turned: tuple[np.ndarray, np.ndarray], given: tuple[np.ndarray, np.ndarray], same: bool, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of verified links of two chunks that this block is the first to have within budget."""
+    (left, right), (a, b) = turned, given
+    a_length, b_length = _length(a), _length(b)
     a32, b32 = space.part(left, block).astype(np.float32), space.part(right, block).astype(np.float32)
     b_square = (b32 * b32).sum(axis=1)
     limit = np.float32(space.budget + 1e-5)
@@ -153,43 +163,42 @@ def _compare(space: Space, block: int, left: np.ndarray, right: np.ndarray, same
             x, y = x[x < y], y[x < y]
         for k in range(0, len(x), PAIRS):
             i, j = x[k : k + PAIRS], y[k : k + PAIRS]
-            within = None
-            for b in range(block + 1):
-                d = space.part(left, b)[i] - space.part(right, b)[j]
+            within = np.ones(len(i), bool)
+            for other in range(block + 1):
+                d = space.part(left, other)[i] - space.part(right, other)[j]
                 own = (d * d).sum(axis=1) <= space.budget
-                within = own if b == block and within is None else ~own if within is None else within & (own if b == block else ~own)
+                within &= own if other == block else ~own
             i, j = i[within], j[within]
-            linked = np.einsum("ij,ij->i", left[i], right[j]) >= threshold
+            linked = (a[i] * b[j]).sum(axis=1) / (a_length[i] * b_length[j]) >= threshold
             yield i[linked], j[linked]
 
 
 def _links(reps: DataFrame, space: Space, threshold: float) -> DataFrame:
     """(id, links, root) of the classes (id, n, v), partly counted: sums of links and edges to roots are whole."""
-    chunks, seats = _meetings(_boxes(reps, space), space.budget)
+    boxes = written(_boxes(reps, space), "vector-boxes")
+    seats = written(_meetings(boxes, space.budget), "vector-seats")
 
+    @tidied
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            turned = space.turn(_matrix(batch["v"], space.dims))
-            ids, n = batch["id"].to_numpy("i8"), batch["n"].to_numpy("i8")
-            raw = [x.tobytes() for x in turned]
-            mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            given = _matrix(batch["v"], space.dims)
+            turned, raw = space.turn(given), [x.tobytes() for x in given]
             for b in range(space.blocks):
-                where = [(b, leaf, int(h % np.uint64(chunks[b, leaf]))) for leaf, h in zip(space.leaves(turned, b).tolist(), mixed)]
-                rows = [(m, b, side, i) for i, w in enumerate(where) for m, side in seats.get(w, ())]
-                m, blocks, side, i = np.array(rows, np.int64).reshape(-1, 4).T
-                yield pd.DataFrame({"meeting": m, "block": blocks, "side": side, "id": ids[i], "n": n[i], "v": [raw[x] for x in i]})
+                yield pd.DataFrame({"block": b, "leaf": space.leaves(turned, b), "id": batch["id"], "n": batch["n"], "v": raw})
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["side", "id"])
         vectors = np.frombuffer(b"".join(group["v"]), np.float64).reshape(len(group), -1)
-        first, block = int((group["side"] == 0).sum()), int(group["block"].iloc[0])
+        first, head = int((group["side"] == 0).sum()), group.iloc[0]
         ids, n = group["id"].to_numpy("i8"), group["n"].to_numpy("i8")
-        same = first == len(group) and group["alone"].iloc[0]
-        if first == len(group) and not same:
+        same = (head["one"], head["x"]) == (head["two"], head["y"])
+        if not same and first in (0, len(group)):  # a chunk that got no vector
             return pd.DataFrame({"id": [], "links": [], "root": []}).astype("i8")
-        left, right, base = vectors[:first], vectors if same else vectors[first:], 0 if same else first
+        turned = space.turn(vectors)
+        base = 0 if same else first
+        sides = lambda x: (x, x) if same else (x[:first], x[first:])
         links, groups = np.zeros(len(ids), "i8"), _Groups(len(ids))
-        for i, j in _compare(space, block, left, right, same, threshold):
+        for i, j in _compare(space, int(head["block"]), sides(turned), sides(vectors), same, threshold):
             j = j + base
             links += np.bincount(i, n[j], len(ids)).astype("i8") + np.bincount(j, n[i], len(ids)).astype("i8")
             groups.link(i, j)
@@ -198,20 +207,22 @@ def _links(reps: DataFrame, space: Space, threshold: float) -> DataFrame:
         has = links > 0
         return pd.DataFrame({"id": ids[has], "links": links[has], "root": least[groups.label[has]]})
 
-    alone = {m for w in seats.values() for m, _ in w} - {m for w in seats.values() for m, side in w if side}
-    dealt = reps.mapInPandas(deal, "meeting long, block int, side int, id long, n long, v binary")
-    flags = reps.sparkSession.createDataFrame([(m, m in alone) for m in sorted({m for w in seats.values() for m, _ in w})] or [(-1, False)], "meeting long, alone boolean")
-    return dealt.join(F.broadcast(flags), "meeting").groupBy("meeting").applyInPandas(meet, "id long, links long, root long")
+    dealt = reps.mapInPandas(deal, "block int, leaf long, id long, n long, v binary")
+    dealt = dealt.join(plan_broadcast(boxes.select("block", "leaf", "chunks"), boxes.count(), BROADCAST_SEATS), ["block", "leaf"])
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).drop("chunks")
+    dealt = dealt.join(plan_broadcast(seats, seats.count(), BROADCAST_SEATS), ["block", "leaf", "chunk"])
+    return dealt.groupBy(*_MEETING).applyInPandas(meet, "id long, links long, root long")
 
 
 def vector_join(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do
-    vectors of different lengths.  Equal rows are vectors of their own.  A null vec_id counts as a
-    link of others but has no component.
+    vectors of different lengths.  Equal rows are vectors of their own, also where they share a
+    vec_id.  A null vec_id counts as a link of its copies but has no component, and a vector that only
+    rows without vec_id hold links with nothing but these.  Other columns are ignored.
     """
-    v = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("v"))
+    v = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{embedding}`").cast("array<double>").alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     v = v.withColumn("ok", F.coalesce(fine & F.col("v").isNotNull(), F.lit(False)))
     v = v.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})
@@ -226,15 +237,16 @@ def vector_join(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_i
         space = Space(some / np.linalg.norm(some, axis=1, keepdims=True), count, threshold)
         part = _links(own, space, threshold)
         found = part if found is None else found.unionByName(part)
-    members = v.select("id", F.when(F.col("ok"), F.col("h1")).alias("h1"), F.when(F.col("ok"), F.col("h2")).alias("h2"))
-    members = members.join(classes.select("h1", "h2", F.col("id").alias("rep"), "n"), ["h1", "h2"], "left")
+    known = v.where("ok").select("id", "h1", "h2").join(classes.select("h1", "h2", F.col("id").alias("rep"), "n"), ["h1", "h2"], "left")  # classes are written: AQE can split a hot one
+    members = known.select("id", "rep", "n").unionByName(v.where("not ok").select("id", F.lit(None).cast("long").alias("rep"), F.lit(None).cast("long").alias("n")))
     if found is None:
         links, parts = members.sparkSession.createDataFrame([], "rep long, links long"), members.sparkSession.createDataFrame([], "rep long, component long")
     else:
         found = written(found, "vector-links")
-        links = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-        parts = connected_components(found.select("id", "root"), "id", "root", "vectors").withColumnRenamed("node", "rep")
-    out = members.join(links, "rep", "left").join(parts, "rep", "left")
+        links = written(found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links")), "vector-counts")
+        parts = written(connected_components(found.select("id", "root"), "id", "root", "vectors").withColumnRenamed("node", "rep"), "vector-components")
+    linked = members.where("rep is not null").join(links, "rep", "left").join(parts, "rep", "left")
+    out = linked.unionByName(members.where("rep is null").withColumns({"links": F.lit(None).cast("long"), "component": F.lit(None).cast("long")}))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "rep", "id"))
     out = out.select(F.col("id").alias("vec_id"), (F.coalesce(F.col("n") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))).alias("n_links"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
