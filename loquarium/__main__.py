@@ -57,8 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         writers.write_buckets(curation.balanced_buckets(files.select("name", "size"), "name", "size", a.n), "name", "bucket", a.out)
     elif a.what == "normalize-tsv":
         rows, _ = readers.read_transcripts(spark, a.input)
-        rows = rows.withColumn("_split", T.split_sentences(T.remove_abbreviation_dots(T.remove_bad_cases(F.col("text")))))
-        out = T.clean_alignment_text(rows, "_split", "_norm", a.lang, "input_id").withColumn("normalized_text", F.col("_norm"))
+        out = rows.withColumn("normalized_text", T.normalise_row(F.col("text"), a.lang))
         writers.write_transcripts(out, a.out)
     else:
         segments, _ = readers.read_documents(spark, a.input)

@@ -35,9 +35,9 @@ def clean_apostrophes(x: Column) -> Column:
 
 
 def clean_numbers(x: Column, point: str = "punto", comma: str = "coma") -> Column:
-    """Thousands dots go; a dot or comma between digits is spelled out."""
-    x = F.regexp_replace(x, r"(?<=\d)\.(?=\d{3}(?!\d))", "")
-    x = F.regexp_replace(x, r"(?<=\d)\.(?=\w)", f" {point} ")
+    """Thousands dots go; a dot before a word character or a comma between digits is spelled out."""
+    x = F.regexp_replace(x, r"(?<=\d)\.(?=\d{3})", "")
+    x = F.regexp_replace(x, r"(?U)(?<=\d)\.(?=\w)", f" {point} ")
     return F.regexp_replace(x, r"(?<=\d),(?=\d)", f" {comma} ")
 
 
@@ -48,21 +48,64 @@ def replace_chars(x: Column, names: dict[str, str]) -> Column:
     return x
 
 
-#: Spanish and Catalan abbreviations that lose their dot before splitting.
-ABBREVIATIONS = ["sr.", "sra.", "srs.", "dr.", "dra.", "d.", "núm.", "pàg.", "pág.", "tel.", "av.", "avda.", "etc.", "st.", "sta.", "prof.", "art.", "vol."]
+#: Abbreviations that lose their dot before splitting, the letters of the normaliser, and other characters that it keeps.
+ABBREVIATIONS = ["sr.", "sra.", "srs.", "dr.", "dra.", "srta.", "mss.", "ms.", "mr.", "st.", "sta.", "km.", "m.", "s.", "kg.", "vs.", "num.", "núm."]
+LETTERS = "abcdefghijklmnopqrstuvwxyzàèìòùáéíóúäëïöüñçâêîôû"
+WORD_MARKS, NUMERIC, SENTENCE_ENDS, PUNCTUATION = "'’· -@", "0123456789%+-º", ".?!:…", ",()¡¿\"«»'’;"
+ACCEPTED, ACCEPTED_MARKS = "abcdefghijklmnopqrstuvwxyzàèìòùáéíóúäëïöüñçâêîôûæãẽĩõũ'· -", ",()¡¿\"«»';.?!:…"
+
+
+def _class(chars: str) -> str:
+    """The inside of a character class."""
+    return re.sub(r"([\\\]\[^&-])", r"\\\1", "".join(dict.fromkeys(chars)))
 
 
 def remove_abbreviation_dots(x: Column) -> Column:
-    parts = F.transform(F.split(x, " "), lambda t: F.when(t.isin(ABBREVIATIONS), F.rtrim(F.translate(t, ".", " "))).otherwise(t))
-    return F.array_join(parts, " ")
+    """Words, between blanks, that are exactly a listed abbreviation lose their dot."""
+    return F.array_join(F.transform(F.split(x, " "), lambda t: F.when(t.isin(ABBREVIATIONS), F.substring(t, F.lit(1), F.length(t) - 1)).otherwise(t)), " ")
+
+
+def remove_bad_cases(x: Column, punctuation: bool = False) -> Column:
+    """Marks where they don't belong.
+
+    Dots before whole groups of three digits go.  Hyphens and middle dots stay between letters, else
+    are blanks; so do apostrophes, which with punctuation stay next to one letter too; a typographic
+    apostrophe beside no letter is a blank without punctuation.  Commas stay between digits, else go,
+    but for punctuation.  # goes; apostrophes, hyphens and middle dots at the ends are cut, in this order.
+    """
+    a = f"[{_class(LETTERS)}]"
+    x = F.regexp_replace(x, r"(?<=\d)\.(?=\d{3}($|\.))", "")
+    x = F.regexp_replace(x, rf"(?iu)(?<!{a})[-·]|[-·](?!{a})", " ")
+    x = F.regexp_replace(x, rf"(?iu)(?<!{a})'(?!{a})" if punctuation else rf"(?iu)(?<!{a})'|'(?!{a})", " ")
+    if not punctuation:
+        x = F.regexp_replace(x, rf"(?iu)(?<!{a})’|’(?!{a})", " ")
+        x = F.regexp_replace(x, r"(?U)(?<!\p{N}),|,(?!\p{N})", "")
+    x = F.replace(x, F.lit("#"), F.lit(""))
+    for mark in "'-·":
+        x = F.regexp_replace(x, rf"^[{_class(mark)}]+|[{_class(mark)}]+$", "")
+    return x
+
+
+def valid_chars(lang: str) -> str:
+    """All characters that remove_chars keeps (letters in small only); languages but Catalan have the Spanish signs."""
+    signs = "ca" if lang == "ca" else "es"
+    return LETTERS + WORD_MARKS + NUMERIC + SENTENCE_ENDS + "".join(words.symbols(signs))
+
+
+def remove_chars(x: Column, punctuation: bool = False, lang: str = "ca") -> Column:
+    """What separates lines or parts becomes a dot; marks where they don't belong and characters that are not valid go; abbreviations lose their dot."""
+    x = F.replace(x, F.lit("\n"), F.lit("."))
+    for sep in (" - ", " · ", "|"):
+        x = F.replace(x, F.lit(sep), F.lit("."))
+    keep = valid_chars(lang) + (PUNCTUATION if punctuation else "")
+    return remove_abbreviation_dots(F.regexp_replace(remove_bad_cases(x, punctuation), rf"(?iu)[^{_class(keep)}]", " "))
 
 
-def remove_bad_cases(x: Column) -> Column:
-    """Thousands dots go; hyphen, middle dot and apostrophe stay between letters only; comma between digits only."""
-    x = F.regexp_replace(x, "#", "")
-    x = F.regexp_replace(x, r"(?<=\d)\.(?=\d{3}(?!\d))", "")
-    x = F.regexp_replace(x, r"(?U)(?<!\p{L})[-·'’]|[-·'’](?!\p{L})", " ")
-    return F.regexp_replace(x, r"(?<!\d),|,(?!\d)", " ")
+def normalise_row(x: Column, lang: str, mark: str = "|") -> Column:
+    """A transcript row: cleaned, split into sentences, each sentence normalised in full, joined by mark; blank sentences are empty."""
+    parts = F.split(split_sentences(remove_chars(x, False, lang), "\u0001"), "\u0001")
+    n = F.regexp_replace(clean_text(F.array_join(parts, "\ue000"), lang, parts="\ue000"), r"\s*\ue000\s*", mark)
+    return n
 
 
 def split_sentences(x: Column, mark: str = "|") -> Column:
@@ -153,23 +196,27 @@ def expand_tokens(lang: str):
     return F.pandas_udf(run, T.StringType())
 
 
-def clean_text(x: Column, lang: str, keep_punctuation: bool = False, keep_case: bool = False) -> Column:
-    """Full normaliser: symbols, apostrophes, expansion, numbers, whitelist, single blanks.
+def clean_text(x: Column, lang: str, keep_punctuation: bool = False, keep_case: bool = False, parts: str = "") -> Column:
+    """Full normaliser: symbols, apostrophes, expansion, numbers, accepted characters, single blanks.
 
     ca and es have an expander; eu and gl use basic_normalize by ``|`` parts; other languages raise.
+    parts: a character that is kept, as it separates texts that are normalised together.
     """
     if lang in ("eu", "gl"):
-        return F.array_join(F.filter(F.transform(F.split(x, r"\|"), basic_normalize), lambda t: t != ""), "|")
-    if lang not in ("ca", "es"):
+        x = F.array_join(F.transform(F.split(x, r"\|"), basic_normalize), "|")
+        parts += "|"
+    elif lang in ("ca", "es"):
+        if parts:
+            x = F.replace(x, F.lit(parts), F.lit(f" {parts} "))
+        x = replace_chars(x, words.symbols(lang))
+        x = clean_apostrophes(x)
+        x = expand_tokens(lang)(x)
+        x = clean_numbers(x, *words.POINT_COMMA[lang])
+        x = number_words(lang)(x)
+    else:
         raise ValueError(f"no normaliser for {lang}")
-    x = replace_chars(x, words.SYMBOLS[lang])
-    x = clean_apostrophes(x)
-    x = expand_tokens(lang)(x)
-    x = clean_numbers(x, *words.POINT_COMMA[lang])
-    x = number_words(lang)(x)
     x = x if keep_case else F.lower(x)
-    marks = ".,;:?!¿¡" if keep_punctuation else ""
-    return squeeze(F.regexp_replace(x, rf"(?U)[^\p{{L}}\s'’·{re.escape(marks)}-]", " "))
+    return squeeze(F.regexp_replace(x, rf"(?iu)[^{_class(ACCEPTED + parts + (ACCEPTED_MARKS if keep_punctuation else ''))}]", " "))
 
 
 def clean_alignment_text(df: DataFrame, text: str, out: str, lang: str, key: str) -> DataFrame:

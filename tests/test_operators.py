@@ -175,7 +175,7 @@ def test_catalan_marks(spark):
     [
         ("ca", "El 16 de gener", ["setze"]), ("ca", "farà 30 anys", ["trenta"]), ("ca", "3,14 metres", ["tres", "coma"]), ("ca", "50€", ["cinquanta", "euros"]), ("ca", "50%", ["per cent"]),
         ("ca", "α β γ", ["alfa", "beta", "gamma"]), ("ca", "1º", ["primer"]), ("ca", "120 km", ["quilòmetres"]), ("es", "18 provincias", ["dieciocho"]), ("es", "50 personas", ["cincuenta"]),
-        ("es", "1º lugar", ["primero"]), ("es", "50%", ["por ciento"]), ("es", "120 km", ["kilómetros"]),
+        ("es", "1º lugar", ["primero"]), ("es", "50%", ["por ciento"]), ("es", "120 km", ["quilómetros"]),
     ],
 )
 def test_clean_text(spark, lang, text, parts):
@@ -205,8 +205,38 @@ def test_numbers_do_not_corrupt_each_other(spark):
 
 
 def test_roman_and_initials():
-    assert words.roman("XIV") == 14 and words.roman("IIII") is None and words.roman("I") is None
-    assert words.initials("BBC", "es") == "be be ce" and words.initials("UNESCO", "es") == "UNESCO"
+    assert words.roman_numerals("es")["xiv"] == "catorce" and words.roman_numerals("ca")["xxi"] == "vint-i-un" and "x" not in words.roman_numerals("es")
+    assert words.initials("BBC", "es") == "be be ce" and words.initials("UNESCO", "es") == "UNESCO" and words.initials("WWF", "ca") == "ve doble ve doble efa"
+
+
+@pytest.mark.parametrize(
+    "lang, text, want",
+    [
+        ("es", "el Dr. (XIV, y la BBC", "el doctor. (catorce, y la be be ce"), ("es", "Sra., etc.", "señora., etcétera."), ("ca", "d'en Pere-Joan", "d'en Pere-Joan"), ("es", "10km 5kg", "10 quilómetros 5 quilogramos"),
+        ("ca", "l'ONU i el XXI", "l'ONU i el vint-i-un"), ("es", "PSOE", "pe soe"), ("es", "«A»", "«A»"), ("es", "", ""),
+    ],
+)
+def test_expand(lang, text, want):
+    assert words.expand(text, lang) == want
+
+
+@pytest.mark.parametrize(
+    "text, plain, marked",
+    [
+        ("fa 1.000.000", "fa 1000000", "fa 1000000"), ("sud-est - o -est", "sud-est   o  est", "sud-est   o  est"), ("col·legi ·a", "col·legi  a", "col·legi  a"), ("l'home 'dit' d'", "l'home  dit  d", "l'home 'dit' d"),
+        ("1,5 i, dos", "1,5 i dos", "1,5 i, dos"), ("a#b", "ab", "ab"), ("-ai-", " ai ", " ai "),
+    ],
+)
+def test_bad_cases(spark, text, plain, marked):
+    assert col(spark, text, T.remove_bad_cases) == plain
+    assert col(spark, text, lambda x: T.remove_bad_cases(x, True)) == marked
+
+
+def test_row_normaliser(spark):
+    assert col(spark, "El sr. Pere té 16 anys\nFi - ja està · sí|no! 3,14", lambda x: T.normalise_row(x, "ca")) == "el senyor pere té setze anys|fi|ja està|sí|no|tres catorze"
+    assert col(spark, "Kaixo, mundua! Zer moduz?", lambda x: T.normalise_row(x, "eu", "#")) == "kaixo mundua#zer moduz"
+    assert col(spark, " .!? ", lambda x: T.normalise_row(x, "es")) == ""
+    assert set("äñ°€π") <= set(T.valid_chars("es")) and col(spark, "Ñandú §¶ 5€ Π", lambda x: T.remove_chars(x, False, "es")) == "Ñandú    5€ Π"
 
 
 def test_split_and_answers(spark):
