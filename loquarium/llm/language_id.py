@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loquarium.llm.common import give_back, small_batches, tidied
 from loquarium.llm.shingles import mix
 
 ORDER = 4
@@ -23,7 +24,7 @@ SAMPLE_ROWS, HELD = 1500, 5
 #: Rejected: cross-entropy over the calibration median by so many median deviations, plus a term for short texts.
 DEVIATIONS, SHORT = 50.0, 6.0
 #: Characters scored at once.
-SLICE = 400_000
+SLICE = 100_000
 UNDETERMINED = "und"
 _letters: list[np.ndarray] = []
 
@@ -205,6 +206,9 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     chosen = chosen.select("id", "l", (F.pmod("r", F.lit(HELD)) == 0).alias("held")).distinct()
     rows = d.join(F.broadcast(chosen), ["id", "l"])  # at most SAMPLE_ROWS a language
 
+    small_batches(docs.sparkSession)
+
+    @tidied
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch.reset_index(drop=True)
@@ -219,6 +223,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     model = KneserNey(languages, counted["code"].to_numpy("i8").view("u8"), counted["l"].map(index).to_numpy("i8"), counted["n"].to_numpy("f8"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidied
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = batch[batch["held"] & batch["l"].isin(index)]
@@ -238,7 +243,8 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 def identify(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
     """docs with lang_pred, score, cross_entropy and rejected (columns of these names are replaced).
 
-    Every whole text is scored.  Null texts and texts without letters are ``und`` with score 0 and rejected.
+    Every whole text is scored, in slices of SLICE characters.  Rows are scored each by itself, so
+    null and repeated ids make no difference; docs may have any other columns.  Null texts and texts without letters are ``und`` with score 0 and rejected.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     new = ["lang_pred", "score", "cross_entropy", "rejected"]
@@ -246,10 +252,13 @@ def identify(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for some in texts:
             yield shared.value.predict(some.tolist())
+        give_back()
 
-    udf = F.pandas_udf(run, "lang_pred string, score double, cross_entropy double, rejected boolean")
+    small_batches(docs.sparkSession)
+    udf = F.pandas_udf(run, "lang_pred string, score double, cross_entropy double, rejected boolean").asNondeterministic()  # else filters on its columns would call it again
     names = [c for c in docs.columns if c not in new]
-    return docs.select(*[F.col(f"`{c}`") for c in names], udf(F.col(f"`{text}`")).alias("_found")).select(*[F.col(f"`{c}`") for c in names], *[F.col(f"_found.{c}") for c in new])
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), udf(F.col(f"`{text}`")).alias("found"))
+    return found.select(*[F.col("row").getField(c).alias(c) for c in names], *[F.col("found").getField(c).alias(c) for c in new])
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -18,7 +18,7 @@ _LOWER[0x41:0x5B] += 0x20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Texts are hashed together up to so many bytes (a longer text by itself).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _powers: dict[int, np.ndarray] = {}
 
 

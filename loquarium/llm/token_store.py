@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loquarium.llm.common import drawn, new_path, partitions, written
+from loquarium.llm.common import drawn, new_path, partitions, small_batches, tidied, written
 from loquarium.llm.files import new_file, open_input, open_output
 from loquarium.llm.tokens import encoder
 
@@ -65,6 +65,9 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, drops_space: bool,
     with open_output(new_file(folder, "").rpartition("/")[0] + f"/{digest.hex()}.zdict") as f:
         f.write(raw)
 
+    small_batches(docs.sparkSession)
+
+    @tidied
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
 

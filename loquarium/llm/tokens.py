@@ -67,8 +67,8 @@ class ChunkEncoder:
         self.model = self.tok.model
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 0xFFFF else np.dtype("<u4")  # the same letters name array()'s types
         self.drops_space = drops_space
-        # Lower-cased chunks without white space repeat more, so half the entries do.
-        self.most_chunks, self.most_pieces = (CHUNK_ENTRIES // 2, PIECE_ENTRIES // 2) if drops_space else (CHUNK_ENTRIES, PIECE_ENTRIES)
+        # Lower-cased chunks without white space repeat more, so a quarter of the entries do.
+        self.most_chunks, self.most_pieces = (CHUNK_ENTRIES // 4, PIECE_ENTRIES // 4) if drops_space else (CHUNK_ENTRIES, PIECE_ENTRIES)
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
