@@ -58,7 +58,7 @@ def test_stages(spark, sf_dir):
     assert gone == {63, 64, 65, 66}
     kept = {k: t for k, t in kept.items() if k not in gone}
     assert set(seen["language_id"]) == set(kept)
-    cut = defaultdict(set, {list(kept)[i]: v for i, v in ops.brute_lines(list(kept.values())).items()})
+    cut = defaultdict(set, {list(kept)[i]: v for i, v in ops.plain_repeats(list(kept.values())).items()})
     assert cut[60] and cut[68]
     kept = {k: t if k not in cut or not cut[k] else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in cut[k]) for k, t in kept.items()}
     kept = {k: t for k, t in kept.items() if not cut[k] or t.strip(" ")}
