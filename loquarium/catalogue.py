@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from loquarium.plans import corpus, events, scoring, sessions, texts
+from loquarium.plans import corpus, events, manifests, scoring, sessions, texts
 
 
 def _all():
-    return {**scoring.QUERIES, **events.QUERIES, **texts.QUERIES, **corpus.QUERIES, **sessions.QUERIES}
+    return {**scoring.QUERIES, **events.QUERIES, **texts.QUERIES, **corpus.QUERIES, **sessions.QUERIES, **manifests.QUERIES}
 
 
 def queries():

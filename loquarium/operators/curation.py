@@ -140,7 +140,7 @@ def format_size(n: Column) -> Column:
 
 
 def round_robin(df: DataFrame, source: str, order: str) -> DataFrame:
-    """Adds step: sources take turns, in order, until each is used up."""
+    """Adds rn: a row's number in its source; in the order of (rn, source) sources take turns until each is used up (records.interleaved numbers that order)."""
     rn = F.row_number().over(Window.partitionBy(source).orderBy(order))
     return df.withColumn("rn", rn)
 
