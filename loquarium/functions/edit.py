@@ -1,15 +1,16 @@
-"""Edit distances and error rates as columns; only the operation counts need an Arrow UDF."""
+"""Edit distances and error rates as columns; tokens are renamed, and operations counted, by Arrow UDFs."""
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Tokens of a pair are renamed to characters from here on (a block of 41 472 without surrogates).
-_FIRST, _LAST = 0x3400, 0xD5FF
+#: Tokens of a pair are renamed to the characters from here on, without surrogates.
+_FIRST, _SURROGATES, _BEHIND = 0x3400, 0xD800, 0xE000
+#: Type objects, not DDL strings: this module is imported by workers without a session.
+_CODED = T.StructType([T.StructField(n, T.StringType()) for n in ("ref", "hyp")])
 
 
 def tokens(text: Column) -> Column:
@@ -17,20 +18,43 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda t: t != "")
 
 
-def token_distance(ref: Column, hyp: Column) -> Column:
-    """Levenshtein distance of two token arrays, by the JVM's string kernel.
+def _code(i: int) -> str:
+    k = _FIRST + i
+    return chr(k if k < _SURROGATES else k + _BEHIND - _SURROGATES)
+
+
+def renamed(refs: list, hyps: list) -> pd.DataFrame:
+    """Both token lists of each pair with one character for each of its distinct tokens (a million of them at most)."""
+    rows = []
+    for a, b in zip(refs, hyps):
+        names: dict = {}
+        x = [names.setdefault(t, len(names)) for t in a]
+        y = [names.setdefault(t, len(names)) for t in b]
+        letters = [_code(i) for i in range(len(names))]
+        rows.append(("".join([letters[i] for i in x]), "".join([letters[i] for i in y])))
+    return pd.DataFrame(rows, columns=["ref", "hyp"])
+
+
+@F.pandas_udf(_CODED)
+def _coded_arrays(refs: pd.Series, hyps: pd.Series) -> pd.DataFrame:
+    return renamed([() if x is None else x for x in refs], [() if x is None else x for x in hyps])
 
-    Each distinct token of the pair is renamed to one character, so the distance between the renamed
-    strings is that between the arrays.  More than 41 472 distinct tokens in a pair raise an error.
-    """
-    names = F.array_distinct(F.concat(ref, hyp))
 
-    def renamed(x: Column) -> Column:
-        code = lambda t: F.decode(F.unhex(F.hex(F.lit(_FIRST - 1) + F.array_position(names, t))), "UTF-16BE")
-        return F.array_join(F.transform(x, code), "")
+@F.pandas_udf(_CODED)
+def _coded_texts(refs: pd.Series, hyps: pd.Series) -> pd.DataFrame:
+    return renamed([x.split() if x else () for x in refs], [x.split() if x else () for x in hyps])
+
+
+def token_distance(ref: Column, hyp: Column) -> Column:
+    """Levenshtein distance of two token arrays, by the JVM's string kernel: each distinct token of the pair is renamed to one character."""
+    coded = _coded_arrays(ref, hyp)
+    return F.levenshtein(coded["ref"], coded["hyp"])
+
 
-    fits = F.size(names) <= _LAST - _FIRST + 1
-    return F.when(fits, F.levenshtein(renamed(ref), renamed(hyp))).otherwise(F.raise_error(F.lit("too many distinct tokens in a pair")).cast("int"))
+def word_distance(ref: Column, hyp: Column) -> Column:
+    """The same of the white-space tokens of two texts."""
+    coded = _coded_texts(ref, hyp)
+    return F.levenshtein(coded["ref"], coded["hyp"])
 
 
 def char_errors(ref: Column, hyp: Column) -> Column:
@@ -44,31 +68,35 @@ def cer(ref: Column, hyp: Column) -> Column:
 
 def wer(ref: Column, hyp: Column) -> Column:
     """Word errors over reference words; an empty reference counts as one word."""
-    a, b = tokens(ref), tokens(hyp)
-    return token_distance(a, b) / F.greatest(F.size(a), F.lit(1))
+    return word_distance(ref, hyp) / F.greatest(F.size(tokens(ref)), F.lit(1))
 
 
 def operations(ref: list, hyp: list) -> tuple[int, int, int, int]:
     """(hits, substitutions, insertions, deletions) of one best alignment; ties prefer substitution, then insertion, then deletion."""
-    n, m = len(ref), len(hyp)
-    d = np.zeros((n + 1, m + 1), np.int32)
-    d[:, 0], d[0, :] = np.arange(n + 1), np.arange(m + 1)
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            d[i, j] = min(d[i - 1, j - 1] + (ref[i - 1] != hyp[j - 1]), d[i, j - 1] + 1, d[i - 1, j] + 1)
-    i, j, hits, subs, ins, dels = n, m, 0, 0, 0, 0
+    hits = 0
+    while ref and hyp and ref[-1] == hyp[-1]:  # where the way back begins
+        ref, hyp, hits = ref[:-1], hyp[:-1], hits + 1
+    rows = [list(range(len(hyp) + 1))]
+    for i, x in enumerate(ref, 1):
+        above, left = rows[-1], i
+        row = [i]
+        for j, y in enumerate(hyp):
+            left = min(above[j] + (x != y), left + 1, above[j + 1] + 1)
+            row.append(left)
+        rows.append(row)
+    i, j, subs, ins, dels = len(ref), len(hyp), 0, 0, 0
     while i or j:
-        if i and j and d[i, j] == d[i - 1, j - 1] + (ref[i - 1] != hyp[j - 1]):
-            hits, subs = hits + (ref[i - 1] == hyp[j - 1]), subs + (ref[i - 1] != hyp[j - 1])
+        here, differs = rows[i][j], i and j and ref[i - 1] != hyp[j - 1]
+        if i and j and here == rows[i - 1][j - 1] + differs:
+            hits, subs = hits + (not differs), subs + differs
             i, j = i - 1, j - 1
-        elif j and d[i, j] == d[i, j - 1] + 1:
+        elif j and here == rows[i][j - 1] + 1:
             ins, j = ins + 1, j - 1
         else:
             dels, i = dels + 1, i - 1
-    return hits, subs, ins, dels
+    return hits, int(subs), ins, dels
 
 
-#: A type object, not a DDL string: this module is imported by workers without a session.
 _OPERATIONS = T.StructType([T.StructField(n, T.IntegerType()) for n in ("hits", "subs", "ins", "dels")])
 
 

@@ -83,11 +83,15 @@ def subsegments(df: DataFrame, start: Column, duration: Column, window: float, s
 
 def frame_labels(df: DataFrame, keys: list[str], total: Column, frame: float) -> DataFrame:
     """(keys, frame, label): 1 for frames from int(s / frame) up to before int(e / frame) of any interval; total is each key's length."""
-    spans = df.select(*keys, F.floor(F.col("s") / frame).cast("int").alias("_a"), F.floor(F.col("e") / frame).cast("int").alias("_b"))
-    on = spans.where("_b > _a").select(*keys, F.explode(F.sequence(F.col("_a"), F.col("_b") - 1)).alias("frame")).distinct()
-    n = df.groupBy(*keys).agg(F.floor(F.max(total) / frame).cast("int").alias("_n")).where("_n > 0")
-    every = n.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("frame"))
-    return every.join(on.withColumn("label", F.lit(1)), [*keys, "frame"], "left").fillna(0, ["label"])
+    n = df.groupBy(*keys).agg(F.floor(F.max(total) / frame).cast("int").alias("n")).where("n > 0")
+    spans = df.select(*keys, F.greatest(F.floor(F.col("s") / frame), F.lit(0)).cast("int").alias("s"), F.floor(F.col("e") / frame).cast("int").alias("e")).where("s < e")
+    w = Window.partitionBy(*keys).orderBy("s")
+    both = n.join(islands(spans, keys), keys, "left").withColumns({"from": F.coalesce(F.lag("e").over(w), F.lit(0)), "last": F.lead("s").over(w).isNull()})
+    # Runs of frames off, on, and off again behind the last interval; no frame is joined with anything.
+    part = lambda a, b, y: F.struct(a.alias("a"), F.least(b, F.col("n")).alias("b"), F.lit(y).alias("label"))
+    runs_ = F.array(part(F.col("from"), F.coalesce("s", "n"), 0), part(F.col("s"), F.col("e"), 1), part(F.when(F.col("last"), F.col("e")), F.col("n"), 0))
+    found = both.select(*keys, F.explode(runs_).alias("r")).where("r.a < r.b")
+    return found.select(*keys, F.explode(F.sequence(F.col("r.a"), F.col("r.b") - 1)).alias("frame"), "r.label")
 
 
 def frames_to_segments(df: DataFrame, keys: list[str], frame: str, label: str, length: float) -> DataFrame:

@@ -1,13 +1,17 @@
 """Merging competing hypotheses of a segment, and scoring systems against references.
 
 Hypotheses are long: one row for each (segment, model).  A segment has as many as there are models, so
-they meet in one array after a single shuffle and everything else is higher-order functions.
+they meet in one array after a single shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from itertools import zip_longest
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loquarium.functions import edit
 
@@ -18,43 +22,53 @@ def gathered(hyps: DataFrame, keys: list[str], order: str, hyp: str) -> DataFram
     return hyps.groupBy(*keys).agg(F.transform(some, lambda x: x["h"]).alias("hyps"))
 
 
-def _first_most_common(x: Column) -> Column:
-    """The most frequent element, the earliest among equals; null for no element."""
-    counts = F.transform(x, lambda a: F.size(F.filter(x, lambda b: b == a)))
-    return F.get(x, F.array_position(counts, F.array_max(counts)).cast("int") - 1)
+def _most_common(x: list) -> str:
+    """The most frequent element, the earliest among equals."""
+    return max(dict.fromkeys(x), key=x.count)
 
 
-def centroid(hyps: Column) -> Column:
-    """A text that two or more share (the most frequent); else the one with the least mean distance to the others."""
-    counts = F.transform(hyps, lambda a: F.size(F.filter(hyps, lambda b: b == a)))
-    others = lambda h, i: F.aggregate(
-        F.transform(hyps, lambda o, j: F.when(i != j, F.levenshtein(h, o) / F.greatest(F.length(h), F.lit(1))).otherwise(F.lit(0.0))), F.lit(0.0), lambda a, d: a + d
-    )
-    means = F.transform(hyps, lambda h, i: others(h, i) / (F.size(hyps) - 1))
-    nearest = F.get(hyps, F.array_position(means, F.array_min(means)).cast("int") - 1)
-    return F.when(F.size(hyps) == 0, F.lit(None)).when(F.size(hyps) == 1, F.get(hyps, F.lit(0))).when(F.array_max(counts) >= 2, _first_most_common(hyps)).otherwise(nearest)
+def voted(hyps: list[str]) -> str | None:
+    """Position by position the most frequent token, the earliest hypothesis among equals; None for no hypothesis."""
+    rows = [h.split() for h in hyps]
+    if not rows or all(r == rows[0] for r in rows):
+        return " ".join(rows[0]) if rows else None
+    return " ".join(_most_common([t for t in at if t is not None]) for at in zip_longest(*rows))
+
+
+@F.pandas_udf(T.StringType())
+def vote(hyps: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else voted(list(x)) for x in hyps], dtype=object)
+
 
+def centroid(gathered: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rover_text): a text that two or more share (the most frequent); else the one with the least mean distance to the others.
 
-def vote(hyps: Column) -> Column:
-    """Position by position the most frequent token, the earliest hypothesis among equals."""
-    split = F.transform(hyps, edit.tokens)
-    longest = F.array_max(F.transform(split, F.size))
-    at = lambda p: F.filter(F.transform(split, lambda t: F.get(t, p)), lambda t: t.isNotNull())
-    chosen = F.transform(F.sequence(F.lit(0), longest - 1), lambda p: _first_most_common(at(p)))
-    return F.when(F.size(hyps) == 0, F.lit(None)).when(longest == 0, F.lit("")).otherwise(F.array_join(chosen, " "))
+    Each two texts are compared once, in generated code; what is counted stays where its segment is.
+    """
+    each = gathered.select(*keys, "hyps", F.posexplode_outer("hyps").alias("i", "h"))
+    shared = each.groupBy(*keys, "h").agg(F.count("*").alias("n"), F.min("i").alias("i"), F.first("hyps").alias("hyps"))
+    common = shared.groupBy(*keys).agg(F.max("n").alias("n"), F.max_by("h", F.struct("n", -F.col("i"))).alias("best"), F.first("hyps").alias("hyps"))
+    alone = (F.col("n") >= 2) | (F.size("hyps") <= 1)
+    texts = common.where(~alone).select(*keys, "hyps", F.posexplode("hyps").alias("i", "h"))
+    pairs = texts.select(*keys, "i", "h", F.explode(F.transform(F.filter("hyps", lambda _, k: k > F.col("i")), lambda o, k: F.struct((F.col("i") + 1 + k).alias("j"), o.alias("o")))).alias("p"))
+    pairs = pairs.select(*keys, "i", "h", "p.j", "p.o", F.levenshtein("h", "p.o").alias("d"))
+    both = pairs.select(*keys, F.explode(F.array(F.struct("i", F.col("h"), "d"), F.struct(F.col("j").alias("i"), F.col("o").alias("h"), "d"))).alias("x"))
+    sums = both.groupBy(*keys, "x.i").agg(F.first("x.h").alias("h"), F.sum("x.d").alias("d"))
+    mean = F.col("d") / F.greatest(F.length("h"), F.lit(1))
+    near = sums.groupBy(*keys).agg(F.min_by("h", F.struct(mean, "i")).alias("rover_text"))
+    return common.where(alone).select(*keys, F.col("best").alias("rover_text")).unionByName(near)
 
 
 def merge(hyps: DataFrame, keys: list[str], order: str, hyp: str, strategy: str = "centroid") -> DataFrame:
     """(keys, rover_text); a segment without hypotheses has null."""
-    pick = {"centroid": centroid, "vote": vote}[strategy]
-    return gathered(hyps, keys, order, hyp).select(*keys, pick(F.col("hyps")).alias("rover_text"))
+    found = gathered(hyps, keys, order, hyp)
+    return {"centroid": lambda: centroid(found, keys), "vote": lambda: found.select(*keys, vote("hyps").alias("rover_text"))}[strategy]()
 
 
 def segment_scores(segments: DataFrame, ref: str, hyp: str) -> DataFrame:
     """Adds chars, char_errors, words, word_errors."""
     r, h = F.coalesce(ref, F.lit("")), F.coalesce(hyp, F.lit(""))
-    a, b = edit.tokens(r), edit.tokens(h)
-    return segments.withColumns({"chars": F.length(r), "char_errors": F.levenshtein(r, h), "words": F.size(a), "word_errors": edit.token_distance(a, b)})
+    return segments.withColumns({"chars": F.length(r), "char_errors": F.levenshtein(r, h), "words": F.size(edit.tokens(r)), "word_errors": edit.word_distance(r, h)})
 
 
 def corpus_scores(scored: DataFrame, by: list[str]) -> DataFrame:

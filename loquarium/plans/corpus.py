@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from loquarium.functions.edit import tokens
 from loquarium.operators import curation, filters, lookup, stats
-from loquarium.plans.tables import references, table, tokens_sql
+from loquarium.plans.tables import table, tokens_sql, whole_references
 
-_REF = "substring(regexp_replace(lower(text), '[^a-z ]', '', 'g'), 1, 120)"
+_REF = "regexp_replace(lower(text), '[^a-z ]', '', 'g')"
 _LOW = "regexp_replace(lower(text), '[^a-z ]', '', 'g')"
 
 
@@ -51,7 +51,7 @@ select v.word, count(*) n, b.word is null oov from v left join b on b.word = v.w
 
 
 def char_rate(spark, d):
-    r = references(spark, d).withColumn("sec", F.lit(8.0))
+    r = whole_references(spark, d).withColumn("sec", F.lit(8.0))
     return r.select("doc_id", *[c.alias(n) for n, c in stats.rates(F.col("ref"), F.col("sec")).items()])
 
 
@@ -192,14 +192,14 @@ select doc_id, w as "window", greatest(a, w * 2048) - a as "begin", least(a + n,
 
 
 def ngram_counts(spark, d):
-    return lookup.ngram_counts(references(spark, d), "ref", 2).select("history", "word", "n")
+    return lookup.ngram_counts(whole_references(spark, d), "ref", 2).select("history", "word", "n")
 
 
 NGRAM_SQL = f"""with t as (select list_concat(['<s>'], {tokens_sql(_REF)}, ['</s>']) w from documents), g as (select w, unnest(range(1, len(w))) i from t) select w[i] history, w[i + 1] word, count(*) n from g group by all"""
 
 
 def ngram_backoff(spark, d):
-    return lookup.backoff_probabilities(lookup.ngram_counts(references(spark, d), "ref", 2))
+    return lookup.backoff_probabilities(lookup.ngram_counts(whole_references(spark, d), "ref", 2))
 
 
 BACKOFF_SQL = f"""with t as (select list_concat(['<s>'], {tokens_sql(_REF)}, ['</s>']) w from documents), g as (select w, unnest(range(1, len(w))) i from t), c as (select w[i] history, w[i + 1] word, count(*) n from g group by all)
@@ -207,13 +207,13 @@ select history, word, (n - 1.0::double) / sum(n) over (partition by history) p,
 
 
 def ngram_index_candidates(spark, d):
-    """Benchmark phrases of ten characters most of whose trigrams occur in a reference."""
-    b = table(spark, d, "benchmark").select("item_id", F.substring(F.regexp_replace(F.lower("text"), "[^a-z ]", ""), 1, 10).alias("p"))
+    """Benchmark items most of whose trigrams occur in a text."""
+    b = table(spark, d, "benchmark").select("item_id", F.regexp_replace(F.lower("text"), "[^a-z ]", "").alias("p"))
     index = lookup.phrase_index(b, "item_id", "p", 3)
-    return lookup.candidates(index, b, references(spark, d), "doc_id", "ref", 3, k=5, least=0.8)
+    return lookup.candidates(index, b, whole_references(spark, d), "doc_id", "ref", 3, k=5, least=0.8)
 
 
-CAND_SQL = f"""with b as (select item_id, substring({_LOW}, 1, 10) p from benchmark), x as (select distinct item_id, substring(p, i, 3) g from (select *, unnest(range(1, length(p) - 1)) i from b)),
+CAND_SQL = f"""with b as (select item_id, {_LOW} p from benchmark), x as (select distinct item_id, substring(p, i, 3) g from (select *, unnest(range(1, length(p) - 1)) i from b)),
 r as (select doc_id, {_REF} t from documents), y as (select distinct doc_id, substring(t, i, 3) g from (select *, unnest(range(1, length(t) - 1)) i from r)),
 h as (select doc_id, item_id, count(*) hits from x join y using (g) group by all), z as (select item_id, count(*) total from x group by 1),
 s as (select doc_id, item_id phrase, hits, hits / total::double coverage from h join z using (item_id) where hits / total::double >= 0.8),

@@ -35,11 +35,16 @@ select d.doc_id, case when d.doc_id in (select doc_id from k) then coalesce(g.x,
 
 
 def rover_scores(spark, d):
-    """Flagship: merge, score every system and the merged text, one row for each strategy or system."""
+    """Flagship: merge, score every system and the merged text, one row for each strategy or system.
+
+    Hypotheses meet once; both strategies work on the same arrays, and the references travel with them.
+    """
     h = hypotheses(spark, d)
-    refs = references(spark, d).select("doc_id", "ref")
-    merged = [rover.merge(h, ["doc_id"], "i", "hyp", s).join(refs, "doc_id").select(F.lit(f"rover_{s}").alias("system"), "ref", F.col("rover_text").alias("hyp")) for s in ("centroid", "vote")]
-    every = h.select(F.col("model").alias("system"), "ref", "hyp").unionByName(merged[0]).unionByName(merged[1])
+    found = rover.gathered(h, ["doc_id", "ref"], "i", "hyp").persist()
+    votes = found.select("ref", rover.vote("hyps").alias("hyp"))
+    centre = rover.centroid(found, ["doc_id", "ref"]).select("ref", F.col("rover_text").alias("hyp"))
+    every = h.select(F.col("model").alias("system"), "ref", "hyp")
+    every = every.unionByName(votes.withColumn("system", F.lit("rover_vote"))).unionByName(centre.withColumn("system", F.lit("rover_centroid")))
     scored = rover.corpus_scores(rover.segment_scores(every, "ref", "hyp"), ["system"])
     return scored.select("system", F.col("chars").cast("long").alias("chars"), F.col("errors").cast("long").alias("errors"), "cer", "wer")
 
@@ -73,11 +78,15 @@ def wer_per_doc(spark, d):
 
 
 def wer_detail(spark, d):
-    h = hypotheses(spark, d)
-    found = metrics.error_rate(h, "ref", "hyp", ["model"])
+    found = metrics.error_rate(hypotheses(spark, d), "ref", "hyp", ["model"])
     return found.select("model", F.col("errors").cast("long").alias("errors"), F.col("length").cast("long").alias("length"), "rate")
 
 
+def wer_operations(spark, d):
+    """The rates of insertions, deletions and substitutions."""
+    return metrics.error_rate(hypotheses(spark, d), "ref", "hyp", ["model"]).select("model", "ins_rate", "del_rate", "sub_rate")
+
+
 WER_DETAIL_SQL = f"""with {HYP_SQL} select model, cast(sum({word_errors_sql('ref', 'hyp')}) as bigint) errors, cast(sum(len({tokens_sql('ref')})) as bigint) length,
 cast(sum({word_errors_sql('ref', 'hyp')}) as double) / sum(len({tokens_sql('ref')})) rate from h group by model"""
 
@@ -101,7 +110,7 @@ def quality_gate(spark, d):
     """Kept rows and the share of each model."""
     r, h = F.col("ref"), F.col("hyp")
     a, b = metrics.edge_cer(r, h, 5)
-    keep = filters.quality_gate(edit.cer(r, h) * 100, edit.wer(r, h) * 100, metrics.length_gap(r, h), F.greatest(a, b), F.length(r) / 10.0)
+    keep = filters.quality_gate(edit.cer(r, h) * 100, edit.wer(r, h) * 100, metrics.length_gap(r, h), F.greatest(a, b), F.length(r) / 10.0)  # what needs no Python is tested first
     return hypotheses(spark, d).where(keep).select("doc_id", "model")
 
 
@@ -111,7 +120,8 @@ and greatest(levenshtein(left(ref, 5), left(hyp, 5)), levenshtein(right(ref, 5),
 
 
 def punct_error_rate(spark, d):
-    df = table(spark, d, "documents").select(F.substring("text", 1, 300).alias("r"), F.regexp_replace(F.substring("text", 1, 300), ",", ".").alias("h"))
+    """Turns, of which the other side has a full stop for every comma."""
+    df = table(spark, d, "conversations").select(F.col("text").alias("r"), F.regexp_replace("text", ",", ".").alias("h"))
     return metrics.punctuation_error_rate(df, "r", "h").select("mark", "correct", "subs", "ins", "dels", "error_rate")
 
 
@@ -242,6 +252,7 @@ QUERIES = {
     "cer_per_doc": (cer_per_doc, f"with {HYP_SQL} select doc_id, model, cast(levenshtein(ref, hyp) as double) / greatest(length(ref), 1) cer from h"),
     "wer_per_doc": (wer_per_doc, f"with {HYP_SQL} select doc_id, model, cast({word_errors_sql('ref', 'hyp')} as double) / greatest(len({tokens_sql('ref')}), 1) wer from h"),
     "wer_detail": (wer_detail, WER_DETAIL_SQL),
+    "wer_operations": (wer_operations, None),
     "edge_cer": (edge_cer, EDGE_SQL),
     "len_diff_ratio": (len_diff_ratio, LEN_SQL),
     "quality_gate": (quality_gate, QUALITY_SQL),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loquarium.functions import english
 from loquarium.operators import align, curation, metrics, stats, vad
 from loquarium.plans import backends, pipeline
-from loquarium.plans.tables import HYP_SQL, SPAN_SQL, hypotheses, references, spans, table, whole_references, word_errors_sql
+from loquarium.plans.tables import HYP_SQL, REF_SQL, SPAN_SQL, hypotheses, references, spans, table, whole_references, word_errors_sql
 from loquarium.sources import readers
 from loquarium.streaming import events as stream
 
@@ -31,22 +31,22 @@ def cp_wer(spark, d):
 
 
 def diarization_error(spark, d):
-    """A user's clicks and views of the first day as two speakers; hypotheses start two seconds late."""
-    s = spans(spark, d).where("event_type in ('click', 'view') and s < 1704067200 + 86400 and e > s").select("user_id", F.col("event_type").alias("speaker"), (F.col("s") - 1704067200).cast("double").alias("s"), (F.col("e") - 1704067200).cast("double").alias("e"))
+    """A user's clicks and views as two speakers; hypotheses start two seconds late."""
+    s = spans(spark, d).where("event_type in ('click', 'view') and e > s").select("user_id", F.col("event_type").alias("speaker"), (F.col("s") - 1704067200).cast("double").alias("s"), (F.col("e") - 1704067200).cast("double").alias("e"))
     hyp = s.select("user_id", F.upper("speaker").alias("speaker"), (F.col("s") + 2).alias("s"), "e").where("e > s")
     return metrics.diarization_error(s.withColumn("side", F.lit("ref")).unionByName(hyp.withColumn("side", F.lit("hyp"))), "user_id")
 
 
 def viterbi_align(spark, d):
-    """Frame scores made from a text's letters: each letter for two frames, a blank between; the path visits every token."""
-    r = references(spark, d).select("doc_id", F.substring(F.replace("ref", F.lit(" "), F.lit("")), 1, 12).alias("t")).where("length(t) > 3")
+    """Frame scores made from an utterance's letters: each letter for two frames, a blank between; the path visits every token."""
+    r = references(spark, d).select("doc_id", F.replace("ref", F.lit(" "), F.lit("")).alias("t")).where("length(t) > 3")
     ids = F.transform(F.split("t", ""), lambda c: F.ascii(c) - 96)
     frames = F.flatten(F.transform(ids, lambda k: F.array(k, k, F.lit(0))))
     lp = F.transform(frames, lambda k: F.transform(F.sequence(F.lit(0), F.lit(26)), lambda v: F.when(v == k, F.lit(-0.01)).otherwise(F.lit(-8.0))))
     return align.align(r.select("doc_id", lp.alias("lp"), ids.alias("ids")), "doc_id", "lp", "ids", 0).groupBy("doc_id").agg(F.max("t").alias("last_frame"), F.countDistinct("s").alias("states"))
 
 
-VITERBI_SQL = """with r as (select doc_id, substring(replace(substring(regexp_replace(lower(text), '[^a-z ]', '', 'g'), 1, 120), ' ', ''), 1, 12) t from documents)
+VITERBI_SQL = f"""with {REF_SQL}, r as (select doc_id, replace(ref, ' ', '') t from d)
 select doc_id, cast(length(t) * 3 - 1 as integer) last_frame, cast(length(t) * 2 as bigint) states from r where length(t) > 3"""
 
 
@@ -91,15 +91,14 @@ def resample_labels(spark, d):
 
 
 def code_switched(spark, d):
-    """Every document in a chained sample of 60 to 90 seconds (100 characters a second) or too long for one."""
+    """Documents chained to samples of 60 to 90 seconds (100 characters a second): every sample with its documents and seconds."""
     t = table(spark, d, "documents").select("doc_id", "lang", (F.col("n_chars") / 100).alias("sec"))
     c = curation.code_switched(t, "lang", "doc_id", "sec", 60.0, 90.0)
-    return c.join(t, "doc_id").groupBy("sample").agg(F.count("*").alias("n"), F.sum("sec").alias("sec")).where("sec > 90.0001 or n < 1").groupBy().count()
+    return c.join(t, "doc_id").groupBy("sample").agg(F.count("*").alias("n"), F.round(F.sum("sec"), 6).alias("sec"))
 
 
 def english_clean(spark, d):
-    t = table(spark, d, "documents").where("lang = 'en'").select("doc_id", english.clean_english(F.col("text")).alias("clean"))
-    return t.where(~F.col("clean").rlike("^[a-z' -]*$")).groupBy().count()
+    return table(spark, d, "documents").select("doc_id", english.clean_english(F.col("text")).alias("clean"))
 
 
 def event_sliding(spark, d):
@@ -140,8 +139,8 @@ QUERIES = {
     "intersect_lines": (intersect_lines, "select conv_id, turn from conversations where length(text) <= 300 or text = 'changed'"),
     "kaldi_join": (kaldi_join, KALDI_SQL),
     "resample_labels": (resample_labels, f"with {SPAN_SQL}, f as (select user_id, event_type = 'error' y, row_number() over (partition by user_id order by event_id) - 1 f from iv) select user_id, cast(f // 4 as integer) frame, max(case when y then 1 else 0 end) \"label\" from f group by user_id, f // 4"),
-    "code_switched": (code_switched, "select 0::bigint count"),
-    "english_clean": (english_clean, "select 0::bigint count"),
+    "code_switched": (code_switched, None),
+    "english_clean": (english_clean, None),
     "event_sliding": (event_sliding, "with w as (select unnest([epoch(date_trunc('hour', ts)), epoch(date_trunc('hour', ts)) - 3600]) s from events) select cast(s as bigint) start, count(*) n from w group by 1"),
     "noise_grid": (noise_grid, "select doc_id, unnest([0, 10, 20]) snr from documents"),
     "transcript_pipeline": (transcript_pipeline, None),

@@ -10,10 +10,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Letters of an utterance; whole texts are cut into so long ones.
+UTTERANCE = 120
+
+
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, ref): ASCII letters and blanks of each text, as a reference transcript."""
-    ref = F.substring(F.regexp_replace(F.lower("text"), "[^a-z ]", ""), 1, 120)
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", ref.alias("ref"))
+    """(doc_id, lang, ref): ASCII letters and blanks of whole texts, in utterances of UTTERANCE letters; doc_id numbers them (a hundred thousand a document)."""
+    whole = F.regexp_replace(F.lower("text"), "[^a-z ]", "")
+    last = F.greatest(F.floor((F.length("t") - 1) / UTTERANCE), F.lit(0)).cast("int")
+    cut = table(spark, sf_dir, "documents").select("doc_id", "lang", whole.alias("t")).select("*", F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0)))).alias("i"))
+    return cut.select((F.col("doc_id") * 100_000 + F.col("i")).alias("doc_id"), "lang", F.substring("t", F.col("i") * UTTERANCE + 1, F.lit(UTTERANCE)).alias("ref"))
 
 
 def whole_references(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +35,8 @@ def hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references(spark, sf_dir).select("doc_id", "ref", F.explode(rows).alias("x")).select("doc_id", "ref", "x.*")
 
 
-REF_SQL = "d as (select doc_id, lang, substring(regexp_replace(lower(text), '[^a-z ]', '', 'g'), 1, 120) ref from documents)"
+REF_SQL = """w as (select doc_id, lang, regexp_replace(lower(text), '[^a-z ]', '', 'g') t from documents), u as (select *, unnest(range(0, greatest(coalesce(length(t), 1) - 1, 0) // 120 + 1)) i from w),
+d as (select doc_id * 100000 + i doc_id, lang, substring(t, cast(i * 120 + 1 as bigint), 120) ref from u)"""
 HYP_SQL = (
     REF_SQL
     + """, h as (select doc_id, ref, 0 i, 'h0' model, ref hyp from d union all select doc_id, ref, 1, 'h1', replace(ref, 'e', 'a') from d

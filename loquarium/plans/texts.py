@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loquarium.functions import text as T
 from loquarium.operators import align, curation, lookup, tabular
-from loquarium.plans.tables import references, table
+from loquarium.plans.tables import table, whole_references
 
 
 def _docs(spark, d):
@@ -17,12 +17,12 @@ def _column(name, fn):
     return lambda spark, d: _docs(spark, d).select("doc_id", fn(F.col("text")).alias(name))
 
 
-SENTENCES_SQL = r"""select doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(text, '[.?!:…\n]', chr(1), 'g'), chr(1)), lambda t: trim(t)), lambda t: t <> ''), '|') sentences from documents where not regexp_matches(text, '[0-9]\.[A-Za-z0-9_À-ÿ]')"""
+SENTENCES_SQL = r"""with p as (select doc_id, regexp_replace(regexp_replace(text, '([0-9])\.([A-Za-z0-9_])', '\1' || chr(2) || '\2', 'g'), '([0-9])\.([A-Za-z0-9_])', '\1' || chr(2) || '\2', 'g') t from documents)
+select doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(t, '[.?!:…\n]', chr(1), 'g'), chr(1)), lambda x: trim(replace(x, chr(2), '.'))), lambda x: x <> ''), '|') sentences from p"""
 
 
 def split_sentences(spark, d):
-    """Texts without a dot inside a number or name, which SQL's expressions can't tell apart."""
-    return _docs(spark, d).where(~F.col("text").rlike(r"[0-9]\.[A-Za-z0-9_À-ÿ]")).select("doc_id", T.split_sentences(F.col("text")).alias("sentences"))
+    return _docs(spark, d).select("doc_id", T.split_sentences(F.col("text")).alias("sentences"))
 
 
 def hms(spark, d):
@@ -52,8 +52,8 @@ def clean_numbers(spark, d):
 
 
 def clean_prediction(spark, d):
-    printed = F.concat(F.lit("['"), F.substring(F.regexp_replace("text", r"['\\\n\[\]]", ""), 1, 40), F.lit("', 'b']"))
-    return _docs(spark, d).select("doc_id", T.clean_prediction(printed).alias("clean"), F.substring(F.regexp_replace("text", r"['\\\n\[\]]", ""), 1, 40).alias("x")).select("doc_id", "clean", F.trim(F.concat("x", F.lit(" b"))).alias("expected"))
+    plain = F.regexp_replace("text", r"['\\\n\[\]]", "")
+    return _docs(spark, d).select("doc_id", T.clean_prediction(F.concat(F.lit("['"), plain, F.lit("', 'b']"))).alias("clean"), plain.alias("x")).select("doc_id", "clean", F.trim(F.concat("x", F.lit(" b"))).alias("expected"))
 
 
 def prompt_template(spark, d):
@@ -63,11 +63,11 @@ def prompt_template(spark, d):
 
 def thread_paths(spark, d):
     """Conversations as chains of turns, each turn the child of the one before; a synthetic fork at every third turn."""
-    c = table(spark, d, "conversations").where("conv_id < 20").select((F.col("conv_id") * 100 + F.col("turn")).alias("node"), F.when(F.col("turn") > 0, F.col("conv_id") * 100 + F.when(F.col("turn") % 3 == 2, F.col("turn") - 2).otherwise(F.col("turn") - 1)).alias("up"), F.substring("text", 1, 20).alias("t"))
+    c = table(spark, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("node"), F.when(F.col("turn") > 0, F.col("conv_id") * 100 + F.when(F.col("turn") % 3 == 2, F.col("turn") - 2).otherwise(F.col("turn") - 1)).alias("up"), F.col("text").alias("t"))
     return curation.threads(spark, c, "node", "up", "t").select("leaf", F.array_join("path", " / ").alias("path"), "depth")
 
 
-THREADS_SQL = """with recursive n as (select conv_id * 100 + turn id, case when turn > 0 then conv_id * 100 + case when turn % 3 = 2 then turn - 2 else turn - 1 end end up, substring(text, 1, 20) t from conversations where conv_id < 20),
+THREADS_SQL = """with recursive n as (select conv_id * 100 + turn id, case when turn > 0 then conv_id * 100 + case when turn % 3 = 2 then turn - 2 else turn - 1 end end up, text t from conversations),
 p as (select id, t path, 1 depth from n where up is null union all select n.id, p.path || ' / ' || n.t, p.depth + 1 from n join p on n.up = p.id)
 select id leaf, path, depth from p where id not in (select up from n where up is not null)"""
 
@@ -77,19 +77,19 @@ def stitch_text(spark, d):
 
 
 def word_windows(spark, d):
-    return lookup.word_windows(references(spark, d), "ref", 16, 8)
+    return lookup.word_windows(whole_references(spark, d), "ref", 16, 8)
 
 
-WINDOWS_SQL = """with d as (select list_filter(string_split(substring(regexp_replace(lower(text), '[^a-z ]', '', 'g'), 1, 120), ' '), lambda t: t <> '') w from documents),
+WINDOWS_SQL = """with d as (select list_filter(string_split(regexp_replace(lower(text), '[^a-z ]', '', 'g'), ' '), lambda t: t <> '') w from documents),
 x as (select w, unnest(range(0, case when len(w) <= 16 then 1 else cast(ceil((len(w) - 16) / 8.0) as integer) + 1 end)) i from d where len(w) > 0) select distinct array_to_string(w[i * 8 + 1:i * 8 + 16], ' ') fragment from x"""
 
 
 def char_ids(spark, d):
     ids = tabular.char_ids(F.col("ref"), "abcdefghijklmnopqrstuvwxyz ", unknown=27)
-    return references(spark, d).select("doc_id", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
+    return whole_references(spark, d).select("doc_id", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
 
 
-CHAR_SQL = """select doc_id, coalesce(array_to_string(list_transform(list_filter(string_split(trim(substring(regexp_replace(lower(text), '[^a-z ]', '', 'g'), 1, 120)), ''), lambda c: c <> ''), lambda c: instr('abcdefghijklmnopqrstuvwxyz ', c) - 1), ','), '') ids from documents"""
+CHAR_SQL = """select doc_id, coalesce(array_to_string(list_transform(list_filter(string_split(trim(regexp_replace(lower(text), '[^a-z ]', '', 'g')), ''), lambda c: c <> ''), lambda c: instr('abcdefghijklmnopqrstuvwxyz ', c) - 1), ','), '') ids from documents"""
 
 
 def column_codes(spark, d):
@@ -147,12 +147,16 @@ SILENCES_SQL = """with e as (select user_id, event_id * 10 a, event_id * 10 + 5
 x as (select user_id, 1 + case when pv is null and a > 0 then 1 else 0 end + case when coalesce(nx - b > 100, true) then 1 else 0 end n, nx, a, b, pv from e)
 select user_id, cast(sum(n) as bigint) n, cast(sum(n - 1) as bigint) silences, 1e6::double - min(case when pv is null and a = 0 then 0 else 0 end) covered from x group by user_id"""
 
+_ARTICLE = r"'(^|[^\p{L}\p{M}\p{N}_])(an|a|the)($|[^\p{L}\p{M}\p{N}_])', '\1 \3', 'g'"
+ANSWER_SQL = rf"""with p as (select doc_id, regexp_replace(lower(text), '[!"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{{|}}~]', '', 'g') t from documents)
+select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(t, {_ARTICLE}), {_ARTICLE}), '\s+', ' ', 'g')) clean from p"""
+
 QUERIES = {
     "split_sentences": (split_sentences, SENTENCES_SQL),
     "clean_ws": (_column("clean", T.squeeze), r"select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) clean from documents"),
     "strip_punct": (_column("clean", T.normalise), r"select doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{M}\p{Nd}\p{Pc}\s]', '', 'g'), '\s+', ' ', 'g')) clean from documents"),
     "basic_normalize": (_column("clean", T.basic_normalize), r"select doc_id, trim(regexp_replace(regexp_replace(lower(text), '[,;:?¿«»\-¡!@*{}\[\]=/\\&#…\.]', ' ', 'g'), '\s+', ' ', 'g')) clean from documents"),
-    "normalise_answer": (lambda s, d: _docs(s, d).where(~F.col("text").rlike(r"[^\x00-\x7F]")).select("doc_id", T.normalise_answer(F.col("text")).alias("clean")), r"""select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(text), '[!"#$%&''()*+,\-./:;<=>?@\[\\\]^_`{|}~]', '', 'g'), '(^|[^0-9A-Za-z_])(a|an|the)(?:\b)', '\1 ', 'g'), '\s+', ' ', 'g')) clean from documents where not regexp_matches(text, '[^\x00-\x7F]')"""),
+    "normalise_answer": (_column("clean", T.normalise_answer), ANSWER_SQL),
     "punct_separate": (_column("clean", T.punctuation), r"select doc_id, trim(regexp_replace(lower(regexp_replace(text, '[.,?!]', ' \0 ', 'g')), '\s{2,}', ' ', 'g')) clean from documents"),
     "file_label": (_column("label", T.file_label), "select doc_id, regexp_replace(text, '[^A-Za-z0-9_.-]+', '-', 'g') label from documents"),
     "hms_seconds": (hms, HMS_SQL),
@@ -160,7 +164,7 @@ QUERIES = {
     "number_words": (number_words, None),
     "expand_tokens": (expand_tokens, None),
     "clean_text": (clean_text, None),
-    "clean_prediction": (clean_prediction, r"""with x as (select doc_id, substring(regexp_replace(text, '[''\\\n\[\]]', '', 'g'), 1, 40) x from documents) select doc_id, trim(x || ' b') clean, trim(x || ' b') expected from x"""),
+    "clean_prediction": (clean_prediction, r"""with x as (select doc_id, regexp_replace(text, '[''\\\n\[\]]', '', 'g') x from documents) select doc_id, trim(x || ' b') clean, trim(x || ' b') expected from x"""),
     "prompt_template": (prompt_template, r"select conv_id, turn, role || ': ' || text || chr(10) || chr(10) || '###' || chr(10) || chr(10) prompt from conversations where role = 'user'"),
     "thread_paths": (thread_paths, THREADS_SQL),
     "stitch_text": (stitch_text, "select conv_id, string_agg(text, ' ' order by turn) as text from conversations group by conv_id"),
