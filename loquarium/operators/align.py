@@ -20,33 +20,56 @@ def with_blanks(tokens: list[int], blank: int) -> list[int]:
 
 
 def viterbi(log_probs: np.ndarray, states: list[int], blank: int) -> list[int] | None:
-    """The state of each frame; None where there are more tokens (and repeats) than frames.
+    """The state of each frame of one utterance."""
+    return viterbi_many([(log_probs, states)], blank)[0]
 
-    A step stays, goes to the next state, or skips a blank between two different tokens.
+
+#: Frames times states times utterances that are aligned together, at most about.
+CELLS = 4_000_000
+
+
+def viterbi_many(utterances: list[tuple[np.ndarray, list[int]]], blank: int) -> list[list[int] | None]:
+    """The state of each frame of each utterance; None where there are more tokens (and repeats) than frames.
+
+    A step stays, goes to the next state, or skips a blank between two different tokens.  Utterances
+    of about the same length take their steps together.
     """
-    frames, n = log_probs.shape[0], len(states)
-    labels = np.array(states)
-    if n > 1 and frames < (n - 1) // 2 + sum(a == b for a, b in zip(states[1::2], states[3::2])):
-        return None
-    emit = log_probs[:, labels].astype(np.float64)
-    skip = np.zeros(n, bool)
-    skip[2:] = (labels[2:] != blank) & (labels[2:] != labels[:-2])
-    score = np.full(n, IMPOSSIBLE)
-    score[: min(2, n)] = emit[0, : min(2, n)]
-    back = np.zeros((frames, n), np.int8)
-    for t in range(1, frames):
-        ways = np.full((3, n), IMPOSSIBLE)
-        ways[0] = score
-        ways[1, 1:] = score[:-1]
-        ways[2, 2:] = np.where(skip[2:], score[:-2], IMPOSSIBLE)
+    out: list[list[int] | None] = [None] * len(utterances)
+    fits = lambda lp, s: len(lp) and (len(s) < 2 or len(lp) >= (len(s) - 1) // 2 + sum(a == b for a, b in zip(s[1::2], s[3::2])))
+    todo = sorted((len(s), len(lp), i) for i, (lp, s) in enumerate(utterances) if fits(lp, s))
+    while todo:
+        size, frames = todo[-1][0], max(x[1] for x in todo[-64:])
+        some = todo[-max(1, min(256, CELLS // max(1, size * frames))) :]
+        del todo[-len(some) :]
+        for (_, _, i), path in zip(some, _together([utterances[i] for _, _, i in some], blank)):
+            out[i] = path
+    return out
+
+
+def _together(some: list[tuple[np.ndarray, list[int]]], blank: int) -> list[list[int]]:
+    frames, sizes = np.array([len(lp) for lp, _ in some]), np.array([len(s) for _, s in some])
+    k, n, total = len(some), int(sizes.max()), int(frames.max())
+    emit, skip, every = np.full((total, k, n), IMPOSSIBLE), np.zeros((k, n), bool), np.arange(k)
+    for u, (lp, states) in enumerate(some):
+        labels = np.array(states)
+        emit[: len(lp), u, : len(labels)] = lp[:, labels]
+        skip[u, 2 : len(labels)] = (labels[2:] != blank) & (labels[2:] != labels[:-2])
+    score = np.full((k, n), IMPOSSIBLE)
+    score[:, :2] = emit[0, :, :2]
+    back = np.zeros((total, k, n), np.int8)
+    ways = np.full((3, k, n), IMPOSSIBLE)
+    for t in range(1, total):
+        ways[0], ways[1, :, 1:] = score, score[:, :-1]
+        ways[2, :, 2:] = np.where(skip[:, 2:], score[:, :-2], IMPOSSIBLE)
         back[t] = ways.argmax(axis=0)
-        score = np.maximum(ways.max(axis=0) + emit[t], IMPOSSIBLE)
-    at = n - 1 if n == 1 or score[n - 1] >= score[n - 2] else n - 2
-    path = [at]
-    for t in range(frames - 1, 0, -1):
-        at -= int(back[t, at])
-        path.append(at)
-    return path[::-1]
+        score = np.where((t < frames)[:, None], np.maximum(ways.max(axis=0) + emit[t], IMPOSSIBLE), score)
+    last = score[every, sizes - 1]
+    at = np.where((sizes == 1) | (last >= score[every, np.maximum(sizes - 2, 0)]), sizes - 1, sizes - 2)
+    path = np.zeros((total, k), np.int64)
+    for t in range(total - 1, -1, -1):
+        path[t] = at
+        at = at - np.where(t < frames, back[t, every, at], 0)
+    return [path[:m, u].tolist() for u, m in enumerate(frames)]
 
 
 def align(df: DataFrame, key: str, log_probs: str, tokens: str, blank: int) -> DataFrame:
@@ -55,10 +78,14 @@ def align(df: DataFrame, key: str, log_probs: str, tokens: str, blank: int) -> D
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for k, lp, ids in zip(batch[key], batch[log_probs], batch[tokens]):
-                path = viterbi(np.array([list(x) for x in lp]), with_blanks(list(ids), blank), blank) if len(lp) else None
-                if path:
-                    yield pd.DataFrame({key: k, "t": range(len(path)), "s": path})
+            for a in range(0, len(batch), 256):
+                some = batch.iloc[a : a + 256]
+                lps = [np.stack(x) if len(x) else np.zeros((0, 1)) for x in some[log_probs]]
+                paths = viterbi_many([(lp, with_blanks(list(ids), blank)) for lp, ids in zip(lps, some[tokens])], blank)
+                found = [(k, p) for k, p in zip(some[key], paths) if p]
+                if found:
+                    lengths = [len(p) for _, p in found]
+                    yield pd.DataFrame({key: np.repeat([k for k, _ in found], lengths), "t": np.concatenate([np.arange(m) for m in lengths]), "s": np.concatenate([p for _, p in found])})
 
     return df.select(key, log_probs, tokens).mapInPandas(run, f"`{key}` {kind}, t int, s int")
 

@@ -22,7 +22,7 @@ def ngrams(items: Column, n: int) -> Column:
 def ngram_counts(df: DataFrame, text: str, n: int, pad: bool = True) -> DataFrame:
     """(history, word, n) of word n-grams, padded with sentence marks."""
     words = F.concat(F.array_repeat(F.lit("<s>"), n - 1), tokens(F.col(text)), F.array(F.lit("</s>"))) if pad else tokens(F.col(text))
-    grams = df.select(F.explode(ngrams(words, n)).alias("g"))
+    grams = df.select(words.alias("w")).select(F.explode(ngrams(F.col("w"), n)).alias("g"))  # words by themselves first, not anew for each n-gram
     return grams.groupBy(F.array_join(F.slice("g", 1, n - 1), " ").alias("history"), F.element_at("g", n).alias("word")).agg(F.count("*").alias("n"))
 
 
@@ -39,9 +39,16 @@ def prune(counts: DataFrame, least: int) -> DataFrame:
 
 def word_windows(df: DataFrame, text: str, width: int = 16, shift: int = 8) -> DataFrame:
     """(fragment): distinct windows of words; a shorter text is one."""
-    w = tokens(F.col(text))
+    w = F.col("w")
     n = F.when(F.size(w) <= width, F.lit(0)).otherwise(F.ceil((F.size(w) - width) / shift)).cast("int")
-    return df.select(w.alias("w"), F.explode(F.sequence(F.lit(0), n)).alias("i")).where(F.size("w") > 0).select(F.array_join(F.slice("w", F.col("i") * shift + 1, F.lit(width)), " ").alias("fragment")).distinct()
+    cut = F.transform(F.sequence(F.lit(0), n), lambda i: F.array_join(F.slice(w, i * shift + 1, F.lit(width)), " "))
+    return df.select(tokens(F.col(text)).alias("w")).where(F.size("w") > 0).select(F.explode(cut).alias("fragment")).distinct()
+
+
+def _char_ngrams(letters: Column, n: int) -> Column:
+    """Distinct runs of n letters, from an array of letters."""
+    at = F.sequence(F.lit(0), F.size(letters) - n)
+    return F.array_distinct(F.when(F.size(letters) >= n, F.transform(at, lambda i: F.concat(*[F.get(letters, i + k) for k in range(n)]))))
 
 
 def phrase_index(phrases: DataFrame, key: str, text: str, n: int) -> DataFrame:
@@ -56,9 +63,7 @@ def candidates(index: DataFrame, phrases: DataFrame, docs: DataFrame, key: str,
 
     Distinct n-grams on both sides meet in an equi-join; ties by phrase.
     """
-    t = F.lower(F.col(text))
-    at = F.when(F.length(t) >= n, F.sequence(F.lit(1), F.length(t) - n + 1))
-    grams = docs.select(F.col(key), t.alias("t"), F.explode(at).alias("i")).select(key, F.substring("t", F.col("i"), F.lit(n)).alias("ngram")).distinct()
+    grams = docs.select(F.col(key), F.split(F.lower(F.col(text)), "").alias("_letters")).select(key, F.explode(_char_ngrams(F.col("_letters"), n)).alias("ngram"))
     sizes = index.groupBy("phrase").agg(F.countDistinct("ngram").alias("total"))
     hits = grams.join(index.select("ngram", "phrase").distinct(), "ngram").groupBy(key, "phrase").agg(F.count("*").alias("hits"))
     scored = hits.join(sizes, "phrase").withColumn("coverage", F.col("hits") / F.col("total")).where(F.col("coverage") >= least)
