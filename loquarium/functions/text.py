@@ -219,6 +219,11 @@ def clean_text(x: Column, lang: str, keep_punctuation: bool = False, keep_case:
     return squeeze(F.regexp_replace(x, rf"(?iu)[^{_class(ACCEPTED + parts + (ACCEPTED_MARKS if keep_punctuation else ''))}]", " "))
 
 
+def enrichment_text(x: Column, lang: str) -> Column:
+    """clean_text where a language has it, else basic_normalize."""
+    return clean_text(x, lang) if lang in ("ca", "es", "eu", "gl") else basic_normalize(x)
+
+
 def clean_alignment_text(df: DataFrame, text: str, out: str, lang: str, key: str) -> DataFrame:
     """Adds out: clean_text by ``|`` parts of a text column, empty parts dropped; key names the row."""
     parts = df.select(F.col(key).alias("_key"), F.posexplode(F.split(F.col(text), r"\|")).alias("_at", "_part")).withColumn("_part", clean_text(F.col("_part"), lang)).where(F.col("_part") != "")

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loquarium.sources.manifests import first_segments
+
 
 class Recogniser(Protocol):
     """Made once in each Python worker; transcribes a batch."""
@@ -53,6 +55,24 @@ class MarkerIdentifier:
         return out
 
 
+def load(name: str):
+    """A backend class named ``module:Class``."""
+    from importlib import import_module
+
+    module, _, attribute = name.partition(":")
+    return getattr(import_module(module), attribute)
+
+
+def prediction_text(out) -> str:
+    """The text in whatever a recogniser returns: a string, a mapping, an object with text, a list of these, or nothing."""
+    while isinstance(out, (list, tuple)):
+        if not out:
+            return ""
+        out = out[0]
+    text = out.get("text") if isinstance(out, dict) else out if isinstance(out, str) else getattr(out, "text", None)
+    return "" if text is None else str(text).replace("’", "'")
+
+
 def in_batches(make, call, size: int, empty):
     """An iterator function over series: a backend made once, batches of a size, and a failing batch retried item by item."""
 
@@ -81,7 +101,7 @@ def in_batches(make, call, size: int, empty):
 
 def transcribe(segments: DataFrame, model: str, make, path: str = "segment_path", batch: int = 16) -> DataFrame:
     """(keys, model, pred_text): null paths give empty texts; a failing item gives an empty text."""
-    udf = F.pandas_udf(in_batches(make, lambda b, x: [t if p is not None else "" for p, t in zip(x, b.transcribe([p or "" for p in x]))], batch, ""), "string")
+    udf = F.pandas_udf(in_batches(make, lambda b, x: [prediction_text(t) if p is not None else "" for p, t in zip(x, b.transcribe([p or "" for p in x]))], batch, ""), "string")
     return segments.select("input_id", "block_id", "seg_idx", F.lit(model).alias("model"), udf(F.col(path)).alias("pred_text"))
 
 
@@ -93,6 +113,11 @@ def pending(segments: DataFrame, hyps: DataFrame | None, model: str, overwrite:
     return segments.join(done, ["input_id", "block_id", "seg_idx"], "left_anti")
 
 
+def enrich(segments: DataFrame, hyps: DataFrame | None, registry: list[tuple[str, str, object]], limit: int | None = None, overwrite: bool = False) -> DataFrame:
+    """Predictions of further models for the first segments of each document (all without a limit); what is there already is kept, unless overwritten."""
+    return sweep(first_segments(segments, ["input_id"], ["block_id", "seg_idx"], limit), registry, hyps, overwrite)
+
+
 def sweep(segments: DataFrame, registry: list[tuple[str, str, object]], hyps: DataFrame | None = None, overwrite: bool = False) -> DataFrame:
     """All models of each segment's language, one model after another; what is there already is kept."""
     out = hyps

@@ -63,6 +63,14 @@ def block_reasons(blocks: DataFrame, audio: DataFrame) -> DataFrame:
     ).drop("_known")
 
 
+def kept_blocks(blocks: DataFrame, audio: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(blocks, rejects) by block_reasons; an input that keeps none of its blocks is an error."""
+    kept, rejects = filters.split(block_reasons(blocks, audio))
+    if bad := blocks.select("input_id").distinct().join(kept.select("input_id"), "input_id", "left_anti").limit(5).collect():
+        raise ValueError(f"no valid block is left of {[r[0] for r in bad]}")
+    return kept, rejects
+
+
 def segments_from_units(units: DataFrame, least: float) -> DataFrame:
     """(keys, start, end, normalized_text, reason) of aligned units (input_id, block_id, start, end, text)."""
     from pyspark.sql import Window

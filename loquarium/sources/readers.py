@@ -42,7 +42,11 @@ def missing_inputs(audio: DataFrame, transcripts: DataFrame) -> DataFrame:
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.trim("value").alias("input_id")).where("input_id <> ''")
+    """(input_id) of the lines that are not blank; a list without any is an error."""
+    ids = spark.read.text(path).select(F.trim("value").alias("input_id")).where("input_id <> ''")
+    if not ids.take(1):
+        raise ValueError(f"{path} names no inputs")
+    return ids
 
 
 def read_ctm(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -122,10 +126,10 @@ def wav_header(contents: pd.Series) -> pd.DataFrame:
     return out.astype({"channels": "Int32", "rate": "Int32", "bits": "Int32", "frames": "Int64"})
 
 
-def read_wav(spark: SparkSession, paths: str | list[str], header_bytes: int | None = None) -> DataFrame:
-    """(input_id, path, channels, rate, bits, frames, duration)."""
+def read_wav(spark: SparkSession, paths: str | list[str], header_bytes: int = 65_536) -> DataFrame:
+    """(input_id, path, channels, rate, bits, frames, duration); only the first bytes of a file, where the header lies, go to Python."""
     df = spark.read.format("binaryFile").load(paths)
-    return df.select(stem(F.col("path")).alias("input_id"), "path", wav_header("content").alias("h")).select("input_id", "path", "h.*")
+    return df.select(stem(F.col("path")).alias("input_id"), "path", wav_header(F.substring("content", 1, header_bytes)).alias("h")).select("input_id", "path", "h.*")
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:

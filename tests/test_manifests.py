@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from loquarium.operators import records, scores, speakers
-from loquarium.sources import manifests
+from loquarium.__main__ import main
+from loquarium.plans import backends, pipeline
+from loquarium.sources import manifests, readers
 
 
 def test_braces_and_scatter():
@@ -112,3 +114,36 @@ def test_interleaving(spark):
     got = sorted((r["step"], r["s"], r["rn"]) for r in records.interleaved(df, "s", "rn").collect())
     assert [x[:2] for x in got] == list(enumerate("abcaca"))
     assert pd.Series([x[0] for x in got]).is_unique
+
+
+def test_prediction_text():
+    class Out:
+        text = "d’ara"
+
+    assert [backends.prediction_text(x) for x in ("a", {"text": "b"}, [{"text": "c"}], Out(), None, [], {}, ("e", "f"))] == ["a", "b", "c", "d'ara", "", "", "", "e"]
+
+
+def test_command_line(spark, tmp_path):
+    units = [("a", "b1", i * 3.0, i * 3.0 + 2.5, "el gat que és amb la casa") for i in range(4)] + [("c", "b2", 0.0, 0.1, "curt")]
+    spark.createDataFrame(units, "input_id string, block_id string, start double, end double, text string").write.json(f"{tmp_path}/units")
+    (tmp_path / "ids").write_text("a\n\n c \n")
+    b = "loquarium.plans.backends"
+    main(["pipeline", f"{tmp_path}/units", "-o", f"{tmp_path}/out", "--lang", "ca", "--model", f"m1={b}:EchoRecogniser", "--model", f"m2={b}:EchoRecogniser", "--identifier", f"{b}:MarkerIdentifier", "--punctuator", f"{b}:CapitalPunctuator", "--input-id-file", f"{tmp_path}/ids"])
+    assert spark.read.json(f"{tmp_path}/out/merged").count() == 4 and spark.read.json(f"{tmp_path}/out/rejects").first()["reason"] == "duration_below_minimum"
+    (tmp_path / "text").mkdir()
+    (tmp_path / "text" / "x.txt").write_text("El Dr. té 16 anys!\n")
+    main(["clean", f"{tmp_path}/text", "-o", f"{tmp_path}/clean", "--lang", "ca"])
+    row = spark.read.text(f"{tmp_path}/clean").first()
+    assert row["value"] == "el doctor té setze anys" and row["file"] == "x_splitted_and_clean"
+    (tmp_path / "none").write_text(" \n")
+    with pytest.raises(ValueError, match="no inputs"):
+        readers.read_id_list(spark, f"{tmp_path}/none")
+
+
+def test_kept_blocks(spark):
+    blocks = spark.createDataFrame([("a", "b", "x.wav", "0", "1", "t", "t"), ("a", "c", "x.wav", "2", "1", "t", "t"), ("d", "e", "y.wav", "0", "1", "t", "t")], "input_id string, block_id string, audio_filepath string, start string, end string, normalized_text string, original_text string")
+    audio = spark.createDataFrame([("x.wav",)], "audio_filepath string")
+    kept, rejects = pipeline.kept_blocks(blocks.where("input_id = 'a'"), audio)
+    assert [r["block_id"] for r in kept.collect()] == ["b"] and [r["reason"] for r in rejects.collect()] == ["invalid_times"]
+    with pytest.raises(ValueError, match="d"):
+        pipeline.kept_blocks(blocks, audio)
