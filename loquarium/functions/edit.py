@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,16 +55,17 @@ def token_distance(ref: Column, hyp: Column) -> Column:
 def word_distance(ref: Column, hyp: Column) -> Column:
     """The same of the white-space tokens of two texts."""
     coded = _coded_texts(ref, hyp)
-    return F.levenshtein(coded["ref"], coded["hyp"])
+    return char_errors(coded["ref"], coded["hyp"])
 
 
 def char_errors(ref: Column, hyp: Column) -> Column:
-    return F.levenshtein(ref, hyp)
+    """Levenshtein distance of two texts; equal ones are not compared letter by letter."""
+    return F.when(ref == hyp, F.lit(0)).otherwise(F.levenshtein(ref, hyp))
 
 
 def cer(ref: Column, hyp: Column) -> Column:
     """Character errors over reference characters; an empty reference counts as one character."""
-    return F.levenshtein(ref, hyp) / F.greatest(F.length(ref), F.lit(1))
+    return char_errors(ref, hyp) / F.greatest(F.length(ref), F.lit(1))
 
 
 def wer(ref: Column, hyp: Column) -> Column:
@@ -71,6 +73,36 @@ def wer(ref: Column, hyp: Column) -> Column:
     return word_distance(ref, hyp) / F.greatest(F.size(tokens(ref)), F.lit(1))
 
 
+#: Cells of one row of several pairs' tables that are worked out together, at most about.
+CELLS = 1_000_000
+
+
+def distances(a: list[str], b: list[str]) -> np.ndarray:
+    """Levenshtein distances of many pairs of texts, a row of all their tables at a time."""
+    out = np.zeros(len(a), np.int64)
+    order = sorted((i for i in range(len(a)) if a[i] != b[i]), key=lambda i: (len(b[i]), len(a[i])))
+    while order:
+        widest = len(b[order[-1]]) + 1
+        some = order[-max(1, min(4096, CELLS // widest)) :]
+        del order[-len(some) :]
+        la, lb = (np.array([len(x[i]) for i in some]) for x in (a, b))
+        grids = [np.full((len(some), int(n.max())), pad, np.uint32) for n, pad in ((la, 0xFFFFFFFF), (lb, 0xFFFFFFFE))]
+        for grid, x in zip(grids, (a, b)):
+            for k, i in enumerate(some):
+                grid[k, : len(x[i])] = np.frombuffer(x[i].encode("utf-32-le", "surrogatepass"), "<u4")
+        steps = np.arange(grids[1].shape[1] + 1, dtype=np.int32)
+        row, found = np.tile(steps, (len(some), 1)), lb.copy()
+        for i in range(1, grids[0].shape[1] + 1):
+            new = np.empty_like(row)
+            new[:, 0] = i
+            np.minimum(row[:, :-1] + (grids[1] != grids[0][:, i - 1 : i]), row[:, 1:] + 1, out=new[:, 1:])
+            row = np.minimum.accumulate(new - steps, axis=1) + steps
+            ends = np.flatnonzero(la == i)
+            found[ends] = row[ends, lb[ends]]
+        out[some] = found
+    return out
+
+
 def operations(ref: list, hyp: list) -> tuple[int, int, int, int]:
     """(hits, substitutions, insertions, deletions) of one best alignment; ties prefer substitution, then insertion, then deletion."""
     hits = 0

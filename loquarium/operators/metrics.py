@@ -30,7 +30,7 @@ def error_rate(df: DataFrame, ref: str, hyp: str, by: list[str] | None = None, c
 def per_utterance(df: DataFrame, ref: str, hyp: str, chars: bool = False) -> DataFrame:
     """Adds errors, length, rate; no reference tokens: 0 for an empty hypothesis, else infinite."""
     r, h = F.coalesce(ref, F.lit("")), F.coalesce(hyp, F.lit(""))
-    errors, length = (F.levenshtein(r, h), F.length(r)) if chars else (edit.word_distance(r, h), F.size(edit.tokens(r)))
+    errors, length = (edit.char_errors(r, h), F.length(r)) if chars else (edit.word_distance(r, h), F.size(edit.tokens(r)))
     out = df.withColumns({"errors": errors, "length": length})
     return out.withColumn("rate", F.when(F.col("length") > 0, F.col("errors") / F.col("length")).when(F.col("errors") == 0, F.lit(0.0)).otherwise(F.lit(float("inf"))))
 

@@ -6,7 +6,7 @@ they meet in one array after a single shuffle.
 
 from __future__ import annotations
 
-from itertools import zip_longest
+from itertools import combinations, zip_longest
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,35 +40,37 @@ def vote(hyps: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else voted(list(x)) for x in hyps], dtype=object)
 
 
-def centroid(gathered: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, rover_text): a text that two or more share (the most frequent); else the one with the least mean distance to the others.
+def central(segments: list[list[str]]) -> list[str | None]:
+    """Of each segment's hypotheses one that two or more share (the most frequent); else the one with the least mean distance to the others, by its length; None for none."""
+    out: list[str | None] = [_most_common(x) if x else None for x in segments]
+    open_ = [i for i, x in enumerate(segments) if len(x) > 1 and len(set(x)) == len(x)]
+    pairs = [(i, j, k) for i in open_ for j, k in combinations(range(len(segments[i])), 2)]
+    found = edit.distances([segments[i][j] for i, j, _ in pairs], [segments[i][k] for i, _, k in pairs]).tolist()
+    sums = {i: [0] * len(segments[i]) for i in open_}
+    for (i, j, k), d in zip(pairs, found):
+        sums[i][j] += d
+        sums[i][k] += d
+    for i, each in sums.items():
+        means = [d / max(len(t), 1) for d, t in zip(each, segments[i])]
+        out[i] = segments[i][means.index(min(means))]
+    return out
 
-    Each two texts are compared once, in generated code; what is counted stays where its segment is.
-    """
-    each = gathered.select(*keys, "hyps", F.posexplode_outer("hyps").alias("i", "h"))
-    shared = each.groupBy(*keys, "h").agg(F.count("*").alias("n"), F.min("i").alias("i"), F.first("hyps").alias("hyps"))
-    common = shared.groupBy(*keys).agg(F.max("n").alias("n"), F.max_by("h", F.struct("n", -F.col("i"))).alias("best"), F.first("hyps").alias("hyps"))
-    alone = (F.col("n") >= 2) | (F.size("hyps") <= 1)
-    texts = common.where(~alone).select(*keys, "hyps", F.posexplode("hyps").alias("i", "h"))
-    pairs = texts.select(*keys, "i", "h", F.explode(F.transform(F.filter("hyps", lambda _, k: k > F.col("i")), lambda o, k: F.struct((F.col("i") + 1 + k).alias("j"), o.alias("o")))).alias("p"))
-    pairs = pairs.select(*keys, "i", "h", "p.j", "p.o", F.levenshtein("h", "p.o").alias("d"))
-    both = pairs.select(*keys, F.explode(F.array(F.struct("i", F.col("h"), "d"), F.struct(F.col("j").alias("i"), F.col("o").alias("h"), "d"))).alias("x"))
-    sums = both.groupBy(*keys, "x.i").agg(F.first("x.h").alias("h"), F.sum("x.d").alias("d"))
-    mean = F.col("d") / F.greatest(F.length("h"), F.lit(1))
-    near = sums.groupBy(*keys).agg(F.min_by("h", F.struct(mean, "i")).alias("rover_text"))
-    return common.where(alone).select(*keys, F.col("best").alias("rover_text")).unionByName(near)
+
+@F.pandas_udf(T.StringType())
+def centroid(hyps: pd.Series) -> pd.Series:
+    return pd.Series(central([[] if x is None else list(x) for x in hyps]), dtype=object)
 
 
 def merge(hyps: DataFrame, keys: list[str], order: str, hyp: str, strategy: str = "centroid") -> DataFrame:
     """(keys, rover_text); a segment without hypotheses has null."""
-    found = gathered(hyps, keys, order, hyp)
-    return {"centroid": lambda: centroid(found, keys), "vote": lambda: found.select(*keys, vote("hyps").alias("rover_text"))}[strategy]()
+    pick = {"centroid": centroid, "vote": vote}[strategy]
+    return gathered(hyps, keys, order, hyp).select(*keys, pick("hyps").alias("rover_text"))
 
 
 def segment_scores(segments: DataFrame, ref: str, hyp: str) -> DataFrame:
     """Adds chars, char_errors, words, word_errors."""
     r, h = F.coalesce(ref, F.lit("")), F.coalesce(hyp, F.lit(""))
-    return segments.withColumns({"chars": F.length(r), "char_errors": F.levenshtein(r, h), "words": F.size(edit.tokens(r)), "word_errors": edit.word_distance(r, h)})
+    return segments.withColumns({"chars": F.length(r), "char_errors": edit.char_errors(r, h), "words": F.size(edit.tokens(r)), "word_errors": edit.word_distance(r, h)})
 
 
 def corpus_scores(scored: DataFrame, by: list[str]) -> DataFrame:

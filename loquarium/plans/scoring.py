@@ -40,11 +40,9 @@ def rover_scores(spark, d):
     Hypotheses meet once; both strategies work on the same arrays, and the references travel with them.
     """
     h = hypotheses(spark, d)
-    found = rover.gathered(h, ["doc_id", "ref"], "i", "hyp").persist()
-    votes = found.select("ref", rover.vote("hyps").alias("hyp"))
-    centre = rover.centroid(found, ["doc_id", "ref"]).select("ref", F.col("rover_text").alias("hyp"))
-    every = h.select(F.col("model").alias("system"), "ref", "hyp")
-    every = every.unionByName(votes.withColumn("system", F.lit("rover_vote"))).unionByName(centre.withColumn("system", F.lit("rover_centroid")))
+    found = rover.gathered(h, ["doc_id", "ref"], "i", "hyp").select("ref", rover.vote("hyps").alias("rover_vote"), rover.centroid("hyps").alias("rover_centroid"))
+    merged = found.select("ref", F.explode(F.array(*[F.struct(F.lit(s).alias("system"), F.col(s).alias("hyp")) for s in ("rover_vote", "rover_centroid")])).alias("x")).select("x.system", "ref", "x.hyp")
+    every = h.select(F.col("model").alias("system"), "ref", "hyp").unionByName(merged)
     scored = rover.corpus_scores(rover.segment_scores(every, "ref", "hyp"), ["system"])
     return scored.select("system", F.col("chars").cast("long").alias("chars"), F.col("errors").cast("long").alias("errors"), "cer", "wer")
 

@@ -11,36 +11,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Letters of an utterance; whole texts are cut into so long ones.
-UTTERANCE = 120
+UTTERANCE = 60
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents; a table of fewer files than there are cores is dealt out, as one row group is one task else."""
+    d, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return d.repartition(cores, "doc_id") if len(d.inputFiles()) < cores else d
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, ref): ASCII letters and blanks of whole texts, in utterances of UTTERANCE letters; doc_id numbers them (a hundred thousand a document)."""
     whole = F.regexp_replace(F.lower("text"), "[^a-z ]", "")
     last = F.greatest(F.floor((F.length("t") - 1) / UTTERANCE), F.lit(0)).cast("int")
-    cut = table(spark, sf_dir, "documents").select("doc_id", "lang", whole.alias("t")).select("*", F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0)))).alias("i"))
+    cut = texts(spark, sf_dir).select("doc_id", "lang", whole.alias("t")).select("*", F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0)))).alias("i"))
     return cut.select((F.col("doc_id") * 100_000 + F.col("i")).alias("doc_id"), "lang", F.substring("t", F.col("i") * UTTERANCE + 1, F.lit(UTTERANCE)).alias("ref"))
 
 
 def whole_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same of whole texts, for queries without SQL."""
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", F.regexp_replace(F.lower("text"), "[^a-z ]", "").alias("ref"))
+    return texts(spark, sf_dir).select("doc_id", "lang", F.regexp_replace(F.lower("text"), "[^a-z ]", "").alias("ref"))
 
 
 def hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ref, i, model, hyp): four systems, the first without errors."""
     r = F.col("ref")
-    systems = [r, F.replace(r, F.lit("e"), F.lit("a")), F.substring(r, 1, 110), F.translate(r, "ion", "oni")]
+    systems = [r, F.replace(r, F.lit("e"), F.lit("a")), F.substring(r, 1, 55), F.translate(r, "ion", "oni")]
     rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f"h{i}").alias("model"), h.alias("hyp")) for i, h in enumerate(systems)])
     return references(spark, sf_dir).select("doc_id", "ref", F.explode(rows).alias("x")).select("doc_id", "ref", "x.*")
 
 
-REF_SQL = """w as (select doc_id, lang, regexp_replace(lower(text), '[^a-z ]', '', 'g') t from documents), u as (select *, unnest(range(0, greatest(coalesce(length(t), 1) - 1, 0) // 120 + 1)) i from w),
-d as (select doc_id * 100000 + i doc_id, lang, substring(t, cast(i * 120 + 1 as bigint), 120) ref from u)"""
+REF_SQL = """w as (select doc_id, lang, regexp_replace(lower(text), '[^a-z ]', '', 'g') t from documents), u as (select *, unnest(range(0, greatest(coalesce(length(t), 1) - 1, 0) // 60 + 1)) i from w),
+d as (select doc_id * 100000 + i doc_id, lang, substring(t, cast(i * 60 + 1 as bigint), 60) ref from u)"""
 HYP_SQL = (
     REF_SQL
     + """, h as (select doc_id, ref, 0 i, 'h0' model, ref hyp from d union all select doc_id, ref, 1, 'h1', replace(ref, 'e', 'a') from d
-union all select doc_id, ref, 2, 'h2', substring(ref, 1, 110) from d union all select doc_id, ref, 3, 'h3', translate(ref, 'ion', 'oni') from d)"""
+union all select doc_id, ref, 2, 'h2', substring(ref, 1, 55) from d union all select doc_id, ref, 3, 'h3', translate(ref, 'ion', 'oni') from d)"""
 )
 
 

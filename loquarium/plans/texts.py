@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loquarium.functions import text as T
 from loquarium.operators import align, curation, lookup, tabular
-from loquarium.plans.tables import table, whole_references
+from loquarium.plans.tables import table, texts, whole_references
 
 
 def _docs(spark, d):
@@ -43,7 +43,7 @@ def expand_tokens(spark, d):
 
 
 def clean_text(spark, d):
-    x = table(spark, d, "documents").select("doc_id", "lang", "text")
+    x = texts(spark, d).select("doc_id", "lang", "text")
     return x.select("doc_id", F.when(F.col("lang") == "es", T.clean_text(F.col("text"), "es")).otherwise(T.clean_text(F.col("text"), "gl")).alias("clean"))
 
 

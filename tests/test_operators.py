@@ -385,3 +385,25 @@ def test_stitch_buffers_takes_whole_texts(spark, tmp_path):
     rows = [(k, "en", " ".join("w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(n))) for k, n in ((1, 301), (2, 16), (3, 1))]
     spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r["doc_id"]: r["n"] for r in sessions.stitch_buffers(spark, str(tmp_path)).collect()} == {1: 301, 2: 16}
+
+
+def test_distances_of_many_pairs():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rng = np.random.default_rng(3)
+    make = lambda: "".join(rng.choice(list("abé😀 "), rng.integers(0, 14)))
+    a, b = ([make() for _ in range(400)] for _ in range(2))
+    assert edit.distances(a, b).tolist() == [plain(x, y) for x, y in zip(a, b)]
+    assert edit.distances([], []).tolist() == []
+
+
+def test_operation_counts():
+    assert edit.operations("a b c d".split(), "a x c e d".split()) == (3, 1, 1, 0)
+    assert edit.operations([], ["a"]) == (0, 0, 1, 0) and edit.operations(["a", "b"], []) == (0, 0, 0, 2) and edit.operations(["a"], ["a"]) == (1, 0, 0, 0)
