@@ -216,23 +216,22 @@ def _runs(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def candidates(packed: DataFrame) -> DataFrame:
-    """(a, b, null) candidate pairs, a < b; and (a, null, g) for each member of a signature g that more than ALL_PAIRS share."""
-    none = lambda k: pd.array([None] * k, "Int64")
+    """(a, b, null) candidate pairs, a < b; and (a, least, g) for each member of a signature g that more than ALL_PAIRS share, with the least member that it was paired with."""
 
-    def table(pairs: np.ndarray, member: np.ndarray, name: np.ndarray) -> pd.DataFrame:
+    def table(pairs: np.ndarray, crowd: np.ndarray) -> pd.DataFrame:
         pairs = np.unique(pairs, axis=0)
         pairs = pairs[pairs[:, 0] < pairs[:, 1]]
-        two = pd.DataFrame({"a": pd.array(pairs[:, 0], "Int64"), "b": pd.array(pairs[:, 1], "Int64"), "g": none(len(pairs))})
-        return pd.concat([two, pd.DataFrame({"a": pd.array(member, "Int64"), "b": none(len(member)), "g": pd.array(name, "Int64")})])
+        both = pd.DataFrame(np.concatenate((np.column_stack((pairs, np.zeros(len(pairs), "i8"))), crowd)), columns=["a", "b", "g"])
+        return both.assign(g=pd.arrays.IntegerArray(both["g"].to_numpy(), np.arange(len(both)) < len(pairs)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         if group["bucket"].iloc[0] < 0:  # members of what is crowded in a batch, with the batch's least one
             member, least, name = (np.concatenate([np.frombuffer(x, "<i8") for x in group[c]]) for c in ("docs", "counts", "sigs"))
-            return table(np.stack((least, member), 1), member, name)
+            return table(np.stack((least, member), 1), np.stack((member, least, name), 1))
         ids = np.concatenate([np.frombuffer(x, "<i8") for x in group["docs"]])
         owner, ends, sig, crowd = _runs(group)
         if not len(ends):
-            return table(np.zeros((0, 2), "i8"), np.zeros(0, "i8"), np.zeros(0, "i8"))
+            return table(np.zeros((0, 2), "i8"), np.zeros((0, 3), "i8"))
         doc = ids[owner]
         starts = np.append(0, ends[:-1])
         size = ends - starts
@@ -245,7 +244,8 @@ def candidates(packed: DataFrame) -> DataFrame:
             pairs.append(np.stack((np.minimum(doc[at], doc[at + gap]), np.maximum(doc[at], doc[at + gap])), 1))
         large = np.flatnonzero(crowd)
         pairs.append(np.stack((least[large], doc[large]), 1))
-        out = table(np.concatenate(pairs), doc[large], (np.uint64(group["bucket"].iloc[0]) << np.uint64(48) | sig).view("i8")[run_of[large]])
+        name = (np.uint64(group["bucket"].iloc[0]) << np.uint64(48) | sig).view("i8")[run_of[large]]
+        out = table(np.concatenate(pairs), np.stack((doc[large], least[large], name), 1))
         del group, ids, owner, doc, pairs
         give_back()
         return out
@@ -253,6 +253,22 @@ def candidates(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInPandas(run, "a long, b long, g long")
 
 
+def unsettled(crowd: DataFrame, parts: DataFrame) -> DataFrame:
+    """(g, a, comp) of all members of the crowded signatures (a, b, g) that some component does not hold as a whole.
+
+    A signature is whole where each member is in the component of the least one that it was paired
+    with.  These pairs are far fewer than memberships, so they are looked up, and memberships only of
+    signatures that are not whole.
+    """
+    star = crowd.where("a <> b").select("a", "b").distinct()
+    side = lambda x: parts.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    apart = star.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    apart = written(apart, "jaccard-apart")
+    mixed = written(crowd.join(apart, ["a", "b"], "left_semi").select("g").distinct(), "jaccard-mixed")
+    members = crowd.join(mixed, "g", "left_semi").select("g", "a").distinct()
+    return members.join(side("a"), "a", "left").select("g", "a", F.coalesce("ca", "a").alias("comp"))
+
+
 def cross_candidates(members: DataFrame, percent: int, tasks: int) -> DataFrame:
     """(a, b) pairs of members (g, a, comp, size, bits) of one signature in different components whose sketches allow similarity.
 
@@ -357,12 +373,10 @@ def jaccard_join(docs: DataFrame, percent: int = 80, n: int = 5, doc_id: str = "
     spare = written(usable.join(reps.where("rows > 1"), ["h1", "h2", "size"]).where("id <> class_id").groupBy("id").agg(F.min("class_id").alias("class_id")), "jaccard-copies")
     single = d.where("id is not null and t is not null").join(_few(spare.select("id")), "id", "left_anti")
     found = written(candidates(_pack(single, n, percent, buckets)), "jaccard-candidates")
-    links, drawn = verified(found.where("b is not null"), single, n, percent)
+    links, drawn = verified(found.where("g is null").select("a", "b"), single, n, percent)
     parts = written(connected_components(links, "a", "b", "jaccard"), "jaccard-components")
     # Signatures of many classes gave a star each: what is still in different components is compared, sketch by sketch.
-    crowd = found.where("b is null").select("g", "a").distinct().join(parts.withColumnRenamed("node", "a"), "a", "left").select("g", "a", F.coalesce("component", "a").alias("comp"))
-    mixed = crowd.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("g")
-    crowd = written(crowd.join(mixed, "g", "left_semi"), "jaccard-crowd")
+    crowd = written(unsettled(found.where("g is not null"), parts), "jaccard-crowd")
     if rows := crowd.count():
         seen = crowd.join(drawn.withColumnRenamed("id", "a"), "a")
         more = cross_candidates(seen, percent, max(partitions(spark), math.ceil(rows / (8 * CROWD_ROWS)))).distinct().join(links, ["a", "b"], "left_anti")
