@@ -19,7 +19,9 @@ def lower_ascii(text: Column) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table as it lies; one of fewer files than there are cores is dealt out, as one row group is one task else."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:
