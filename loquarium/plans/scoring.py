@@ -128,7 +128,7 @@ def _predictions(spark, d):
     k = F.col("doc_id")
     langs = F.array(*[F.lit(x) for x in ("ca", "es", "eu", "gl", "pt", "fr")])
     c1 = 30 + (k * 7) % 60
-    return references(spark, d).select(
+    return table(spark, d, "documents").select(
         "doc_id", "lang", F.get(langs, (k % 6).cast("int")).alias("l1"), c1.alias("c1"), F.get(langs, ((k * 5 + 1) % 6).cast("int")).alias("l2"), F.greatest(c1 - (k * 3) % 40, F.lit(1)).alias("c2"), F.get(langs, (k % 4).cast("int")).alias("primary")
     )
 
