@@ -4,6 +4,8 @@ import hashlib
 import re
 import zlib
 from collections import defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -13,7 +15,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from loquarium.llm import jaccard_join as jj  # noqa: E402
 from loquarium.llm import language_id, line_dedup, packing, sentence_spans, shingles, token_counts, token_store, tokens, vector_join, warc  # noqa: E402
-from loquarium.llm.common import connected_components  # noqa: E402
+from loquarium.llm.common import connected_components, shared_dir  # noqa: E402
 from loquarium.llm.decontaminate import decontaminate  # noqa: E402
 
 DOC = "doc_id long, text string, extra string"
@@ -544,3 +546,46 @@ def test_vector_join(spark, monkeypatch, chunk):
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vector_join.vector_join(df).collect()}
     assert got == brute_vectors(rows)
     assert vector_join.vector_join(df.limit(0)).count() == 0
+
+
+def test_vector_join_disk(spark, monkeypatch):
+    """What is shuffled and what lies in the shared folder follow the input, also where every chunk meets every other."""
+    monkeypatch.setattr(vector_join, "CHUNK", 128)
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(4000, 64)).astype("f4")
+    v[3000:] = v[:1000] + rng.normal(size=(1000, 64)).astype("f4") * 0.1
+    df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<float>")
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled() -> int:
+        bus.waitUntilEmpty()
+        return store.executorSummary("driver").totalShuffleWrite()
+
+    folder = Path(urlparse(shared_dir(spark)).path)
+    lying = lambda: sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+    before = shuffled(), lying()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vector_join.vector_join(df).collect()}
+    after = shuffled(), lying()
+    assert after[0] - before[0] + after[1] - before[1] < 4 * v.nbytes, (before, after, v.nbytes)
+    unit = v.astype("f8") / np.linalg.norm(v.astype("f8"), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    assert {k: x[0] for k, x in got.items()} == dict(enumerate((near.sum(axis=1) - 1).tolist()))
+    assert all(x[1] == min(k, *np.flatnonzero(near[k]).tolist()) for k, x in got.items())  # no chains here
+
+
+@pytest.mark.parametrize("dense", [0.0, 2.0])
+def test_vector_join_slabs(spark, monkeypatch, dense):
+    """Slabs that are compared at once, and pair by pair, over several leaves, chunks and copies; squares that overflow or vanish."""
+    monkeypatch.setattr(vector_join, "DENSE", dense)
+    for k, x in {"CHUNK": 32, "ROWS": 8, "COLUMNS": 16, "PAIRS": 50, "RUN": 4096, "SAMPLE": 64}.items():
+        monkeypatch.setattr(vector_join, k, x)
+    rng = np.random.default_rng(9)
+    hot = rng.normal(size=16)
+    v = np.concatenate([rng.normal(size=(120, 16)), hot + rng.normal(size=(120, 16)) * 0.25, np.cumsum(rng.normal(size=(60, 16)) * 0.3, axis=0) + 2])
+    v = np.concatenate([v, v[100:160], v[130:140] * 2.0**600, v[5:9] * 2.0**-700])
+    order = rng.permutation(len(v))
+    rows = list(zip(range(len(v)), v[order].tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vector_join.vector_join(df).collect()}
+    scaled = [(k, (np.array(x) / np.abs(x).max()).tolist()) for k, x in rows]
+    assert got == brute_vectors(scaled)
