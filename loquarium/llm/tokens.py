@@ -2,10 +2,11 @@
 
 Neither supported vocabulary merges across a blank that follows another kind of character, so a
 text's ids are the concatenation of its chunks' ids, a chunk being a blank and what follows it up to
-the next one.  A chunk is looked up; one not seen yet is cut by the vocabulary's own pre-tokenizer
-pattern into pre-tokens, which the library's model encodes once each.  Wherever that argument could
-fail (unusual white space, characters outside the Latin blocks) the library encodes the whole text
-or chunk itself.  Caches are emptied when full, which costs time and never changes ids.
+the next one, or a line break by itself.  A chunk is looked up; one not seen yet is cut by the
+vocabulary's own pre-tokenizer pattern into pre-tokens, which the library's model encodes once each.
+Wherever that argument could fail (unusual white space, characters outside the Latin blocks) the
+library encodes the whole text or chunk itself.  Caches are emptied when full, which costs time and
+never changes ids.
 """
 
 from __future__ import annotations
@@ -67,10 +68,12 @@ class ChunkEncoder:
         self.model = self.tok.model
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 0xFFFF else np.dtype("<u4")  # the same letters name array()'s types
         self.drops_space = drops_space
-        # Lower-cased chunks without white space repeat more, so a quarter of the entries do.
-        self.most_chunks, self.most_pieces = (CHUNK_ENTRIES // 4, PIECE_ENTRIES // 4) if drops_space else (CHUNK_ENTRIES, PIECE_ENTRIES)
+        # Lower-cased chunks without white space repeat more, so a quarter of the entries do.  Where blanks are
+        # kept most chunks are pieces, and a piece by itself has the same ids: one cache holds both.
+        both = CHUNK_ENTRIES + PIECE_ENTRIES
+        self.most_chunks, self.most_pieces = (CHUNK_ENTRIES // 4, PIECE_ENTRIES // 4) if drops_space else (both, both)
         self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {} if drops_space else self.chunks
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -78,7 +81,11 @@ class ChunkEncoder:
     def _piece(self, piece: str) -> bytes:
         if len(self.pieces) >= self.most_pieces:
             self.pieces.clear()
-        letters = piece.encode().decode("latin-1").translate(_LETTERS)
+        word = piece[1:] if piece[:1] == " " else piece
+        if word.isascii() and word.isalpha():
+            letters = piece.replace(" ", _LETTERS[0x20])
+        else:
+            letters = piece.encode().decode("latin-1").translate(_LETTERS)
         self.pieces[piece] = found = array(self.dtype.char, [t.id for t in self.model.tokenize(letters)]).tobytes()
         return found
 
@@ -103,8 +110,13 @@ class ChunkEncoder:
             return (text.lower() if plain else text).replace("\n", " ").split(" ")
         if "  " in text or "\n " in text or text[-1] == " " or not plain and _UNUSUAL_SPACE.search(text):
             return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        if "\0" in text:
+            first, *rest = text.split(" ")
+            return [first, *[" " + x for x in rest]]
+        # The last line break of a run is a pre-token, those before it are another, all of them at a text's end are one.
+        if "\n\n\n" not in text and " \n" not in text and text[-2:] != "\n\n":
+            text = text.replace("\n", "\0\n\0")
+        return text.replace(" ", "\0 ").split("\0")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One id string for each text; null and empty texts give no ids."""
@@ -122,15 +134,16 @@ class ChunkEncoder:
                 out.append(self.whole(text))
                 continue
             cache = self.chunks
-            try:
-                out.append(b"".join(map(cache.__getitem__, parts)))
-            except KeyError:
-                if len(cache) >= self.most_chunks:
-                    cache.clear()
-                for p in parts:
-                    if p not in cache:
-                        cache[p] = self._chunk(p, plain)
-                out.append(b"".join(map(cache.__getitem__, parts)))
+            found = [*map(cache.get, parts)]  # kept here, so that a cache may be emptied at any miss
+            if None in found:
+                for i in [i for i, x in enumerate(found) if x is None]:
+                    p = parts[i]
+                    if (ids := cache.get(p)) is None:
+                        if len(cache) >= self.most_chunks:
+                            cache.clear()
+                        cache[p] = ids = self._chunk(p, plain)
+                    found[i] = ids
+            out.append(b"".join(found))
         return out
 
 

@@ -195,6 +195,26 @@ def test_chunk_encoder(name, drops):
             assert np.frombuffer(raw, e.dtype).tolist() == (t.encode(x, add_special_tokens=False).ids if x else [])
 
 
+@pytest.mark.parametrize("name, drops", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_chunks_at_line_breaks(name, drops):
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(2)
+    bits = [" ab", " ab", "cd.", "\n", "\n", "\n\n", "\n\n\n", " \n", "\0", "'s", "’", "é", "!", " 12"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 12))) for _ in range(5000)]
+    e, t = tokens.ChunkEncoder(public_tokenizers.path(name), drops), Tokenizer.from_file(public_tokenizers.path(name))
+    e.most_chunks = e.most_pieces = 3  # emptied within texts
+    for x, raw in zip(texts, e.encode(texts)):
+        assert np.frombuffer(raw, e.dtype).tolist() == t.encode(x, add_special_tokens=False).ids
+    e = tokens.ChunkEncoder(public_tokenizers.path(name), drops)
+    e.encode(["One two.\nThree two.\n\nFour two.\nFive two."])
+    # No two words across a line break are an entry of their own, and a word is held once.
+    words = {"one", "two.", "three", "four", "five", ""} if drops else {"One", " two.", "\n", "Three", "Four", "Five", " two", ".", ""}
+    assert set(e.chunks) == words
+
+
 TEXTS = ["Hello there, world.", None, "", "Hello there, world.", "a\n\nb  c\td", "é" * 3000, "word " * 9000, "x <|endoftext|> y"]
 
 
