@@ -6,7 +6,8 @@ the next one, or a line break by itself.  A chunk is looked up; one not seen yet
 vocabulary's own pre-tokenizer pattern into pre-tokens, which the library's model encodes once each.
 Wherever that argument could fail (unusual white space, characters outside the Latin blocks) the
 library encodes the whole text or chunk itself.  Caches are emptied when full, which costs time and
-never changes ids.
+never changes ids; where white space is removed, a full cache of chunks is kept aside until the next
+one is full, so that chunks that come again and again are not lost.
 """
 
 from __future__ import annotations
@@ -68,35 +69,46 @@ class ChunkEncoder:
         self.model = self.tok.model
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 0xFFFF else np.dtype("<u4")  # the same letters name array()'s types
         self.drops_space = drops_space
-        # Lower-cased chunks without white space repeat more, so a quarter of the entries do.  Where blanks are
-        # kept most chunks are pieces, and a piece by itself has the same ids: one cache holds both.
+        # Where blanks are kept most chunks are pieces, and a piece by itself has the same ids: one cache holds both.
+        # Lower-cased chunks without white space repeat more, so fewer entries do: two caches of chunks, the last full
+        # one and the one being filled, and one of the pieces that are in neither.
         both = CHUNK_ENTRIES + PIECE_ENTRIES
-        self.most_chunks, self.most_pieces = (CHUNK_ENTRIES // 4, PIECE_ENTRIES // 4) if drops_space else (both, both)
+        self.most_chunks, self.most_pieces = (CHUNK_ENTRIES // 2, PIECE_ENTRIES // 8) if drops_space else (both, both)
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {} if drops_space else self.chunks
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        if len(self.pieces) >= self.most_pieces:
-            self.pieces.clear()
+    def _model(self, piece: str) -> bytes:
+        """The library's ids of a piece."""
         word = piece[1:] if piece[:1] == " " else piece
         if word.isascii() and word.isalpha():
             letters = piece.replace(" ", _LETTERS[0x20])
         else:
             letters = piece.encode().decode("latin-1").translate(_LETTERS)
-        self.pieces[piece] = found = array(self.dtype.char, [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return array(self.dtype.char, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Of a piece that is not among pieces: it may be held as a chunk."""
+        found = self.chunks.get(piece) or self.older.get(piece)
+        if found is None:
+            if len(self.pieces) >= self.most_pieces:
+                self.pieces.clear()
+            self.pieces[piece] = found = self._model(piece)
         return found
 
     def _chunk(self, chunk: str, checked: bool) -> bytes:
-        """checked: its text has no character that needs the library's own way."""
+        """Of a chunk that no cache of chunks holds; checked: its text has no character that needs the library's own way."""
         if not checked and not _plain(chunk):
             return self.whole(chunk)
         get = self.pieces.get
         word = chunk[1:] if chunk[:1] == " " else chunk
         if word.isalpha():  # most chunks, without the pattern
             piece = word.lower() if self.drops_space else chunk
+            if piece == chunk:  # the caller holds it as a chunk, so it is no entry among pieces
+                return get(piece) or self._model(piece)
             return get(piece) or self._piece(piece)
         if word[-1:] in (".", ",") and word[:-1].isalpha():
             piece = word[:-1].lower() if self.drops_space else chunk[:-1]
@@ -104,6 +116,17 @@ class ChunkEncoder:
         found = _DROPPING.findall(chunk.lower()) if self.drops_space else _KEEPING.findall(chunk)
         return b"".join([get(p) or self._piece(p) for p in found])
 
+    def _set_aside(self) -> None:
+        """Empties the full cache of chunks; where white space is removed, it takes the older one's place."""
+        self.older.clear()
+        if self.drops_space:
+            self.older.update(self.chunks)
+        self.chunks.clear()
+
+    def forget(self) -> None:
+        for cache in (self.chunks, self.older, self.pieces):
+            cache.clear()
+
     def _split(self, text: str, plain: bool) -> list[str] | None:
         """Chunks whose ids concatenate to the text's ids, or None where the text must be encoded whole."""
         if self.drops_space:
@@ -133,15 +156,17 @@ class ChunkEncoder:
             if parts is None:
                 out.append(self.whole(text))
                 continue
-            cache = self.chunks
+            cache, older = self.chunks, self.older
             found = [*map(cache.get, parts)]  # kept here, so that a cache may be emptied at any miss
             if None in found:
                 for i in [i for i, x in enumerate(found) if x is None]:
                     p = parts[i]
                     if (ids := cache.get(p)) is None:
                         if len(cache) >= self.most_chunks:
-                            cache.clear()
-                        cache[p] = ids = self._chunk(p, plain)
+                            self._set_aside()
+                        if (ids := older.get(p)) is None:
+                            ids = self._chunk(p, plain)
+                        cache[p] = ids
                     found[i] = ids
             out.append(b"".join(found))
         return out
@@ -160,5 +185,6 @@ def encoder(path: str, drops_space: bool, specials: bool = True) -> ChunkEncoder
 
 
 def forget() -> None:
-    """Drops the worker's encoder with its caches; workers outlive the tasks that need one."""
-    _encoders.clear()
+    """Empties the caches of the worker's encoder; workers outlive the tasks that need them.  The vocabulary stays for the next task."""
+    for enc in _encoders.values():
+        enc.forget()

@@ -215,6 +215,44 @@ def test_chunks_at_line_breaks(name, drops):
     assert set(e.chunks) == words
 
 
+class Counted:
+    """A library's model that notes what it is asked for."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, []
+
+    def tokenize(self, piece):
+        self.asked.append(piece)
+        return self.model.tokenize(piece)
+
+
+def test_words_are_encoded_once_without_white_space():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    e, t = tokens.ChunkEncoder(path, True), Tokenizer.from_file(path)
+    e.encode(["One one. One, (two) two 'three'"])
+    assert [*e.chunks, *e.pieces].count("one") == 1  # as a chunk, not as a piece besides
+    # Words that come back in every text are the model's once, however often the caches fill between.
+    e = tokens.ChunkEncoder(path, True)
+    e.most_chunks, e.most_pieces = 40, 10
+    e.model = Counted(e.model)
+    rare = ["".join(chr(97 + int(d)) for d in str(10_000 + k)) for k in range(600)]
+    texts = [f"Common words. {' '.join(rare[k : k + 10])}, common again" for k in range(0, 600, 10)]
+    for x, raw in zip(texts, e.encode(texts)):
+        assert np.frombuffer(raw, e.dtype).tolist() == t.encode(x, add_special_tokens=False).ids
+    assert all(e.model.asked.count(x) == 1 for x in ("common", "again", *rare))
+    assert len(e.chunks) <= 40 and len(e.older) <= 40 and len(e.pieces) <= 10
+
+
+def test_vocabulary_stays_with_the_worker():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    e = tokens.encoder(path, True)
+    want = e.encode(["One two. Two"])
+    tokens.forget()
+    assert tokens.encoder(path, True) is e and not (e.chunks or e.older or e.pieces) and e.encode(["One two. Two"]) == want
+
+
 TEXTS = ["Hello there, world.", None, "", "Hello there, world.", "a\n\nb  c\td", "é" * 3000, "word " * 9000, "x <|endoftext|> y"]
 
 
