@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,10 @@ from loquarium.functions.text import normalise_answer
 from loquarium.operators.curation import running_totals
 
 
+#: Cells of speakers by parts of a timeline that are worked out together, at most about.
+CELLS = 4_000_000
+
+
 def error_rate(df: DataFrame, ref: str, hyp: str, by: list[str] | None = None, chars: bool = False) -> DataFrame:
     """(by, errors, length, rate, ins_rate, del_rate, sub_rate): an empty corpus of reference tokens has an infinite rate."""
     counted = df.select(*(by or []), (edit.char_operations if chars else edit.word_operations)(F.col(ref), F.col(hyp)).alias("o"))
@@ -206,34 +211,44 @@ def least_assignment(cost: list[list[int]]) -> int:
 def diarization_error(df: DataFrame, session: str, collar: float = 0.0) -> DataFrame:
     """(session, total, miss, false_alarm, confusion, der) from rows (session, side 'ref'|'hyp', speaker, s, e).
 
-    The timeline is cut at every boundary; speakers are matched so that they share most time.  Parts
-    within collar of a reference boundary do not count.
+    The timeline is cut at every boundary and swept once, part by part; speakers are matched so that they
+    share most time.  Parts within collar of a reference boundary do not count.
     """
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        ref, hyp = group[group["side"] == "ref"], group[group["side"] == "hyp"]
-        edges = {*group["s"], *group["e"]} | {x + d for x in [*ref["s"], *ref["e"]] for d in (-collar, collar)}
-        cuts = sorted(edges)
-        names_r, names_h = sorted(ref["speaker"].unique()), sorted(hyp["speaker"].unique())
-        active = lambda side, a, b: set(side[(side["s"] <= a) & (side["e"] >= b)]["speaker"])
-        parts = [(b - a, active(ref, a, b), active(hyp, a, b)) for a, b in zip(cuts, cuts[1:]) if b > a and not any(abs((a + b) / 2 - x) < collar for x in [*ref["s"], *ref["e"]])]
-        n = max(len(names_r), len(names_h), 1)
-        shared = np.zeros((n, n))
-        for d, r, h in parts:
-            for x in r:
-                for y in h:
-                    shared[names_r.index(x), names_h.index(y)] += d
+    def run(group: pa.Table) -> pa.Table:
+        side, speaker = group["side"].to_pylist(), group["speaker"].to_pylist()
+        s, e = (group[c].to_numpy().astype(float) for c in ("s", "e"))
+        rows: dict = {"ref": {}, "hyp": {}}
+        for i, (x, y) in enumerate(zip(side, speaker)):
+            rows[x].setdefault(y, []).append(i)
+        own = [i for x in rows["ref"].values() for i in x]
+        edges = np.sort(np.concatenate([s[own], e[own]]))
+        edges = edges[~np.isnan(edges)]
+        cuts = np.unique(np.concatenate([s[~np.isnan(s)], e[~np.isnan(e)], edges - collar, edges + collar]))
+        # Starts and ends of every speaker's intervals, each sorted: how many of them lie before a cut says whether one is open there.
+        turns = [[(np.sort(s[i]), np.sort(e[i])) for x in rows[k].values() for i in [np.array(x)[e[x] > s[x]]]] for k in ("ref", "hyp")]
+        n = max(*map(len, turns), 1)
+        shared, sums, step = np.zeros((n, n)), np.zeros(4), max(1, CELLS // (2 * n))
+        for at in range(0, len(cuts) - 1, step):
+            some = cuts[at : at + step + 1]
+            begin, d = some[:-1], np.diff(some)
+            if collar > 0 and len(edges):
+                mid, k = begin + d / 2, np.searchsorted(edges, begin + d / 2)
+                near = np.minimum(np.abs(mid - edges[np.maximum(k - 1, 0)]), np.abs(mid - edges[np.minimum(k, len(edges) - 1)]))
+                d = np.where(near < collar, 0.0, d)
+            r, h = (np.array([np.searchsorted(a, begin, "right") > np.searchsorted(b, begin, "right") for a, b in side]).reshape(len(side), len(begin)) for side in turns)
+            shared[: len(r), : len(h)] += (r * d) @ h.T
+            nr, nh = r.sum(axis=0), h.sum(axis=0)
+            sums += [(d * x).sum() for x in (nr, np.maximum(0, nr - nh), np.maximum(0, nh - nr), np.minimum(nr, nh))]
         scale = 10**6
         together = -least_assignment((-np.round(shared * scale)).astype(int).tolist()) / scale
-        total = sum(d * len(r) for d, r, _ in parts)
-        miss = sum(d * max(0, len(r) - len(h)) for d, r, h in parts)
-        false = sum(d * max(0, len(h) - len(r)) for d, r, h in parts)
-        both = sum(d * min(len(r), len(h)) for d, r, h in parts)
+        total, miss, false, both = sums.tolist()
         confusion = max(0.0, both - together)
-        return pd.DataFrame({session: [group[session].iloc[0]], "total": [total], "miss": [miss], "false_alarm": [false], "confusion": [confusion], "der": [(miss + false + confusion) / total if total else float("inf")]})
+        found = {"total": total, "miss": miss, "false_alarm": false, "confusion": confusion, "der": (miss + false + confusion) / total if total else float("inf")}
+        return pa.table({session: group[session][:1]} | {k: [v] for k, v in found.items()})
 
     kind = dict(df.dtypes)[session]
-    return df.groupBy(session).applyInPandas(run, f"`{session}` {kind}, total double, miss double, false_alarm double, confusion double, der double")
+    return df.select(session, "side", "speaker", "s", "e").groupBy(session).applyInArrow(run, f"`{session}` {kind}, total double, miss double, false_alarm double, confusion double, der double")
 
 
 def running_rates(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
