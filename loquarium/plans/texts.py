@@ -140,7 +140,7 @@ COLLAPSE_SQL = "select user_id, event_id from (select *, lag(event_type) over (p
 
 def insert_silences(spark, d):
     e = table(spark, d, "events").select("user_id", "event_type", (F.col("event_id") * 10).cast("double").alias("a"), (F.col("event_id") * 10 + 5).cast("double").alias("b"), F.lit(1e6).alias("total"))
-    return align.insert_silences(e, ["user_id"], "event_type", "a", "b", "total", 100).groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("text") == "").alias("silences"), F.sum(F.col("e") - F.col("s")).alias("covered"))
+    return align.insert_silences(e, ["user_id"], "event_type", "a", "b", "total", 100, closed=True).groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("text") == "").alias("silences"), F.sum(F.col("e") - F.col("s")).alias("covered"))
 
 
 SILENCES_SQL = """with e as (select user_id, event_id * 10 a, event_id * 10 + 5 b, lead(event_id * 10) over w nx, lag(event_id) over w pv from events window w as (partition by user_id order by event_id)),

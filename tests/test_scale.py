@@ -2,6 +2,7 @@
 
 import time
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -65,3 +66,13 @@ def test_rover_takes_hypotheses_with_their_segment(spark):
         found = rover.merge_systems(wide, ["k"], "systems", "i", "hyp", strategy)
         assert {r["k"]: r["rover_text"] for r in found.collect()} == {r["k"]: r["rover_text"] for r in rover.merge(long, ["k"], "i", "hyp", strategy).collect()}
         assert found.where("k = 1").first()["rover_text"] == first and "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silences_agree_with_sql_beyond_the_total(spark, tmp_path):
+    from loquarium.plans import texts
+
+    rows = [(i, i % 3, "click") for i in (0, 1, 2, 40, 99_999, 100_000, 100_020, 250_000)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(map(tuple, texts.insert_silences(spark, str(tmp_path)).collect())) == sorted(con.execute(texts.SILENCES_SQL).fetchall())
