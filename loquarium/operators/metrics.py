@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -97,20 +98,101 @@ def punctuation_error_rate(df: DataFrame, ref: str, hyp: str, marks: str = ".,!?
     return out.withColumns({**{f"{c}_rate": rate(F.col(c)) for c in ("correct", "subs", "ins", "dels")}, "error_rate": rate(F.col("subs") + F.col("ins") + F.col("dels"))})
 
 
+#: White space of edit.tokens: (?U)\s of the JVM.
+_WORDS = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
+def _words(text: str | None) -> list[str]:
+    return _WORDS.findall(text) if text else []
+
+
+def _best_f1(preds: pd.Series, refs: pd.Series) -> pd.Series:
+    out = []
+    for p, some in zip(preds, refs):
+        a, found = _words(p), None
+        held = Counter(a)
+        for r in () if some is None else map(_words, some):
+            shared = sum(min(n, held[t]) for t, n in Counter(r).items() if t in held) if a and r else 0
+            f1 = shared * 2.0 / (len(a) + len(r)) if a and r else float(len(a) == len(r))
+            found = f1 if found is None else max(found, f1)
+        out.append(found)
+    return pd.Series(out, dtype="Float64")
+
+
 def answer_scores(df: DataFrame, pred: str, refs: str) -> DataFrame:
     """Adds exact and f1 (0 to 1): the best over an array of references, bags of normalised words."""
     # Columns of their own: lambdas would normalise again for each word.
     d = df.withColumns({"_pn": normalise_answer(F.col(pred)), "_rn": F.transform(F.col(refs), normalise_answer)})
-    d = d.withColumns({"_p": edit.tokens(F.col("_pn")), "_r": F.transform("_rn", edit.tokens)}).withColumn("_set", F.array_distinct("_p"))
-    p = F.col("_p")
+    exact = F.array_max(F.transform("_rn", lambda r: (r == F.col("_pn")).cast("int")))
+    return d.withColumns({"exact": exact, "f1": F.pandas_udf(_best_f1, "double")("_pn", "_rn")}).drop("_pn", "_rn")
+
+
+#: Predictions and common references that meet in one task, and shared words that are counted together, at most about.
+ANSWERS, REFERENCES, SHARED = 4096, 4096, 4_000_000
+
+
+def _occurrences(texts: list[list[str]], names: dict, new: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the text, number of the word with its how-manieth occurrence there) of all words; without new, only of words in names."""
+    of, what = [], []
+    for i, words in enumerate(texts):
+        seen: dict = {}
+        for t in words:
+            seen[t] = n = seen.get(t, 0) + 1
+            k = names.setdefault((t, n), len(names)) if new else names.get((t, n))
+            if k is not None:
+                of.append(i)
+                what.append(k)
+    return np.array(of, np.int64), np.array(what, np.int64)
+
+
+def _greatest_f1(preds: list[list[str]], refs: list[list[str]]) -> np.ndarray:
+    """Of each prediction the best f1 over common references: lists of a word's references are counted, no pair is looked at by itself."""
+    names: dict = {}
+    ref, word = _occurrences(refs, names, True)
+    ref = ref[np.argsort(word, kind="stable")]
+    ends = np.cumsum(np.bincount(word, minlength=len(names)))
+    sizes = np.array([len(x) for x in refs])
+    of, what = _occurrences(preds, names, False)
+    mine = np.array([len(x) for x in preds])
+    out = np.where((mine == 0) & (sizes == 0).any(), 1.0, 0.0)
+    many = np.bincount(word, minlength=len(names))[what]  # references to count for every word of a prediction
+    per = np.zeros(len(preds) + 1, np.int64)
+    np.cumsum(np.bincount(of, weights=many, minlength=len(preds)).astype(np.int64), out=per[1:])
+    place, a = np.searchsorted(of, np.arange(len(preds) + 1)), 0
+    while a < len(preds):
+        b = max(a + 1, min(int(np.searchsorted(per, per[a] + SHARED, "right")) - 1, a + max(1, SHARED // len(refs))))
+        some = slice(place[a], place[b])
+        n = many[some]
+        at = np.repeat(ends[what[some]] - n - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        shared = np.bincount(np.repeat(of[some] - a, n) * len(refs) + ref[at], minlength=(b - a) * len(refs)).reshape(b - a, len(refs))
+        f1 = np.where(shared > 0, shared * 2.0 / np.maximum(mine[a:b, None] + sizes, 1), 0.0)
+        out[a:b] = np.maximum(out[a:b], f1.max(axis=1))
+        a = b
+    return out
 
-    def f1(r: Column) -> Column:
-        shared = F.aggregate(F.transform("_set", lambda t: F.least(F.size(F.filter(p, lambda x: x == t)), F.size(F.filter(r, lambda x: x == t)))), F.lit(0), lambda a, x: a + x)
-        both = shared * 2.0 / (F.size(p) + F.size(r))
-        return F.when((F.size(p) == 0) | (F.size(r) == 0), (F.size(p) == F.size(r)).cast("double")).when(shared == 0, F.lit(0.0)).otherwise(both)
 
-    exact = F.array_max(F.transform("_rn", lambda r: (r == F.col("_pn")).cast("int")))
-    return d.withColumns({"exact": exact, "f1": F.array_max(F.transform("_r", f1))}).drop("_pn", "_rn", "_p", "_r", "_set")
+def common_answer_scores(df: DataFrame, key: list[str], pred: str, refs: DataFrame, text: str) -> DataFrame:
+    """(key, exact, f1) as by answer_scores, each prediction against all rows of refs.
+
+    Blocks of predictions meet chunks of references, both of bounded size.
+    """
+    n, m = max(1, -(-df.count() // ANSWERS)), max(1, -(-refs.count() // REFERENCES))
+    place = lambda of, k: F.pmod(F.xxhash64(*of), F.lit(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    p = df.select(*key, normalise_answer(F.col(pred)).alias("_pn")).withColumn("_block", place(key, n))
+    r = refs.select(normalise_answer(F.col(text)).alias("_rn")).where("_rn is not null").distinct().withColumn("_chunk", place(["_rn"], m))
+    kinds = dict(df.dtypes)
+
+    def meet(preds: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
+        found = preds[key].copy()
+        texts = set(some["_rn"])
+        found["exact"] = pd.Series([None if x is None else int(x in texts) for x in preds["_pn"]], index=preds.index, dtype="Int32") if texts else pd.Series(pd.NA, index=preds.index, dtype="Int32")
+        found["f1"] = pd.Series(_greatest_f1([_words(x) for x in preds["_pn"]], [_words(x) for x in some["_rn"]]) if texts else None, index=preds.index, dtype="Float64")
+        return found
+
+    a, b = p.withColumn("_chunk", every(m)).groupBy("_block", "_chunk"), r.withColumn("_block", every(n)).groupBy("_block", "_chunk")
+    met = a.cogroup(b).applyInPandas(meet, ", ".join(f"`{k}` {kinds[k]}" for k in key) + ", exact int, f1 double")
+    return met.groupBy(*key).agg(F.max("exact").alias("exact"), F.max("f1").alias("f1"))
 
 
 def _lcs(a: list, b: list) -> int:

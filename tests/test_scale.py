@@ -76,3 +76,20 @@ def test_silences_agree_with_sql_beyond_the_total(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
     assert sorted(map(tuple, texts.insert_silences(spark, str(tmp_path)).collect())) == sorted(con.execute(texts.SILENCES_SQL).fetchall())
+
+
+def test_answers_against_many_common_references(spark, tmp_path):
+    from loquarium.plans import scoring
+
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(60)]
+    make = lambda n: [" ".join(rng.choice(words, rng.integers(0, 12))) for _ in range(n)]
+    refs, preds = make(40) + [None, "The w1", ""], make(30) + ["w1 the", None, ""]
+    rows = spark.createDataFrame([(i, p, refs) for i, p in enumerate(preds)], "i int, p string, refs array<string>")
+    common = metrics.common_answer_scores(rows, ["i"], "p", spark.createDataFrame([(x,) for x in refs], "t string"), "t")
+    wanted = {r["i"]: (r["exact"], r["f1"]) for r in metrics.answer_scores(rows, "p", "refs").collect()}
+    assert {r["i"]: (r["exact"], r["f1"]) for r in common.collect()} == wanted and wanted[30] == (1, 1.0)
+    turns = [(k, t, ("user", "assistant")[t % 2], " ".join(rng.choice(words, 150))) for k in range(1500) for t in range(2)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([(i, x) for i, x in enumerate(make(300))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert within(60, lambda: scoring.metric_max_over_refs(spark, str(tmp_path)).first())["n"] == 1500  # 450 000 pairs, word by word by lambdas before
