@@ -55,40 +55,62 @@ def length_gap(ref: Column, hyp: Column) -> Column:
 _PIECES = re.compile(r"[\w']+|[^\w\s]")
 
 
+def _marked(text: str | None, marks: str) -> list[int]:
+    """A text's words (0) and marks (their place from 1 on)."""
+    return [marks.index(x) + 1 if x in marks else 0 for x in _PIECES.findall(text or "") if x in marks or x[0].isalnum() or x[0] in "_'"]
+
+
+def many_punctuation_operations(refs: list, hyps: list, marks: str) -> np.ndarray:
+    """(pairs, marks, 4): correct, substituted, inserted and deleted marks; words are masked so that only marks and their places count.
+
+    Pairs of about the same lengths take their steps together; of each cell only its way back is kept.
+    """
+    a, b = ([_marked(x, marks) for x in side] for side in (refs, hyps))
+    la, lb = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+    out = np.zeros((len(a), len(marks) + 1, 4), np.int64)
+    order = np.lexsort((-lb, -la))
+    while len(order):
+        n, m = int(la[order[0]]), int(lb[order[:1024]].max())
+        now, order = np.split(order, [min(1024, max(1, 4 * CELLS // ((n + 1) * (m + 1))))])
+        k, i, j = len(now), la[now], lb[now]
+        x, y = np.full((k, n), -1, np.int16), np.full((k, m), -2, np.int16)
+        for row, p in enumerate(now.tolist()):
+            x[row, : len(a[p])], y[row, : len(b[p])] = a[p], b[p]
+        back = np.full((n + 1, k, m + 1), 2, np.int8)  # 0 both, 1 a mark of hyp alone, 2 one of ref alone
+        back[0] = 1
+        steps = np.arange(m + 1, dtype=np.int32)
+        above = np.tile(steps, (k, 1))
+        for r in range(1, n + 1):
+            one = x[:, r - 1, None]
+            cost = np.where(one == y, 0, np.where((one > 0) & (y > 0), 1, 2))  # a mark never replaces a word
+            new = np.empty_like(above)
+            new[:, 0] = r
+            both = above[:, :-1] + cost
+            np.minimum(both, above[:, 1:] + 1, out=new[:, 1:])
+            new = np.minimum.accumulate(new - steps, axis=1) + steps
+            back[r, :, 1:] = np.where((new[:, 1:] == both) & (cost < 2), 0, np.where(new[:, 1:] == new[:, :-1] + 1, 1, 2))
+            above = new
+        at = np.flatnonzero((i > 0) | (j > 0))
+        while len(at):
+            way, r, c = back[i[at], at, j[at]], i[at] - 1, j[at] - 1
+            mark = np.where(way == 1, y[at, c], x[at, r]) if n and m else (x[at, r] if n else y[at, c])
+            np.add.at(out, (now[at], mark, np.where(way == 0, np.where(x[at, r] == y[at, c], 0, 1) if n and m else 0, way + 1)), 1)
+            i[at] -= way != 1
+            j[at] -= way != 2
+            at = at[(i[at] > 0) | (j[at] > 0)]
+    return out[:, 1:]
+
+
 def punctuation_operations(ref: str, hyp: str, marks: str) -> dict[str, list[int]]:
-    """Correct, substituted, inserted and deleted marks; words are masked so that only marks and their places count."""
-    cut = lambda t: [x if x in marks else "w" if x[0].isalnum() or x[0] in "_'" else None for x in _PIECES.findall(t or "")]
-    a, b = ([x for x in cut(t) if x] for t in (ref, hyp))
-    n, m = len(a), len(b)
-    d = np.zeros((n + 1, m + 1), np.int32)
-    d[:, 0], d[0, :] = np.arange(n + 1), np.arange(m + 1)
-    cost = lambda x, y: 0 if x == y else 1 if x != "w" and y != "w" else 2  # a mark never replaces a word
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            d[i, j] = min(d[i - 1, j - 1] + cost(a[i - 1], b[j - 1]), d[i, j - 1] + 1, d[i - 1, j] + 1)
-    out = {k: [0, 0, 0, 0] for k in marks}
-    i, j = n, m
-    while i or j:
-        if i and j and d[i, j] == d[i - 1, j - 1] + cost(a[i - 1], b[j - 1]) and cost(a[i - 1], b[j - 1]) < 2:
-            if a[i - 1] != "w":
-                out[a[i - 1]][0 if a[i - 1] == b[j - 1] else 1] += 1
-            i, j = i - 1, j - 1
-        elif j and d[i, j] == d[i, j - 1] + 1:
-            if b[j - 1] != "w":
-                out[b[j - 1]][2] += 1
-            j -= 1
-        else:
-            if a[i - 1] != "w":
-                out[a[i - 1]][3] += 1
-            i -= 1
-    return out
+    """many_punctuation_operations of one pair, by mark."""
+    return dict(zip(marks, many_punctuation_operations([ref], [hyp], marks)[0].tolist()))
 
 
 def punctuation_error_rate(df: DataFrame, ref: str, hyp: str, marks: str = ".,!?") -> DataFrame:
     """(mark, correct, subs, ins, dels, rates) for each mark and for all of them (mark ``all``)."""
 
     def run(refs: pd.Series, hyps: pd.Series) -> pd.Series:
-        return pd.Series([[(k, *v) for k, v in punctuation_operations(r, h, marks).items()] for r, h in zip(refs, hyps)])
+        return pd.Series([[(k, *v) for k, v in zip(marks, one)] for one in many_punctuation_operations(refs.tolist(), hyps.tolist(), marks).tolist()])
 
     udf = F.pandas_udf(run, "array<struct<mark:string,correct:int,subs:int,ins:int,dels:int>>")
     rows = df.select(F.explode(udf(F.col(ref), F.col(hyp))).alias("m")).select("m.*")

@@ -93,3 +93,14 @@ def test_answers_against_many_common_references(spark, tmp_path):
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     spark.createDataFrame([(i, x) for i, x in enumerate(make(300))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert within(60, lambda: scoring.metric_max_over_refs(spark, str(tmp_path)).first())["n"] == 1500  # 450 000 pairs, word by word by lambdas before
+
+
+def test_punctuation_of_many_turns():
+    rng = np.random.default_rng(7)
+    make = lambda: "".join(rng.choice(["ab ", "c' ", ", ", ". ", "! ", "? ", "; "], 120))
+    refs = [make() for _ in range(500)]
+    hyps = [x.replace(",", ".") for x in refs]
+    found = within(20, lambda: metrics.many_punctuation_operations(refs + ["a, b", ""], hyps + ["a b.", "?"], ".,!?"))
+    commas, stops = (sum(x.count(c) for x in refs) for c in ",.")
+    assert found[:-2].sum(axis=(0, 2)).sum() >= commas + stops and found[:-2, 1, 1:].sum() >= commas - found[:-2, 1, 0].sum()
+    assert found[-2].tolist() == [[0, 0, 1, 0], [0, 0, 0, 1], [0] * 4, [0] * 4] and found[-1, 3].tolist() == [0, 0, 1, 0]
