@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loquarium.functions import edit
-from loquarium.operators import metrics, rover
+from loquarium.operators import align, metrics, rover
 
 
 def within(seconds, run):
@@ -104,3 +104,32 @@ def test_punctuation_of_many_turns():
     commas, stops = (sum(x.count(c) for x in refs) for c in ",.")
     assert found[:-2].sum(axis=(0, 2)).sum() >= commas + stops and found[:-2, 1, 1:].sum() >= commas - found[:-2, 1, 0].sum()
     assert found[-2].tolist() == [[0, 0, 1, 0], [0, 0, 0, 1], [0] * 4, [0] * 4] and found[-1, 3].tolist() == [0, 0, 1, 0]
+
+
+def test_viterbi_paths_of_many_lengths_agree_with_brute_force():
+    rng = np.random.default_rng(4)
+    some = []
+    for _ in range(60):
+        lp = np.log(rng.dirichlet(np.ones(3), rng.integers(1, 8)))
+        some.append((lp, align.with_blanks(rng.integers(1, 3, rng.integers(0, 4)).tolist(), 0)))
+
+    def best(lp, s):
+        paths = [(x,) for x in range(min(2, len(s)))]
+        for _ in lp[1:]:
+            paths = [(*p, p[-1] + d) for p in paths for d in (0, 1, 2) if p[-1] + d < len(s) and (d < 2 or (s[p[-1] + 2] != 0 and s[p[-1] + 2] != s[p[-1]]))]
+        paths = [p for p in paths if p[-1] >= len(s) - 2]
+        return max((sum(lp[t, s[x]] for t, x in enumerate(p)) for p in paths), default=None)
+
+    for (lp, s), path in zip(some, align.viterbi_many(some, 0)):
+        assert (best(lp, s) is None) == (path is None)
+        assert path is None or abs(sum(lp[t, s[x]] for t, x in enumerate(path)) - best(lp, s)) < 1e-4
+
+
+def test_viterbi_align_moves_no_scores(spark, tmp_path):
+    from loquarium.plans import sessions
+
+    rows = [(k, "en", "abc de fgh " * 40 + "x" * k) for k in range(60)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sessions.viterbi_align(spark, str(tmp_path))
+    assert all(r["last_frame"] % 3 == 2 and r["states"] * 3 == (r["last_frame"] + 1) * 2 for r in found.collect())
+    assert "array<array" not in found._jdf.queryExecution().executedPlan().toString() and "HashAggregate" not in found._jdf.queryExecution().executedPlan().toString()
