@@ -218,12 +218,26 @@ def common_answer_scores(df: DataFrame, key: list[str], pred: str, refs: DataFra
 
 
 def _lcs(a: list, b: list) -> int:
-    row = [0] * (len(b) + 1)
+    """Length of the longest common subsequence, a row of the table in one number: its bits are the places of b that don't raise it."""
+    where: dict = {}
+    for j, y in enumerate(b):
+        where[y] = where.get(y, 0) | 1 << j
+    every = (1 << len(b)) - 1
+    row = every
     for x in a:
-        last = 0
-        for j, y in enumerate(b):
-            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
-    return row[-1]
+        if seen := where.get(x, 0) & row:
+            row = (row + seen | row - seen) & every
+    return len(b) - row.bit_count()
+
+
+def _shared(a: list, b: list) -> int:
+    """Size of the common part of two bags."""
+    left, n = Counter(b), 0
+    for x in a:
+        if left.get(x, 0):
+            left[x] -= 1
+            n += 1
+    return n
 
 
 @F.pandas_udf(T.StructType([T.StructField(n, T.DoubleType()) for n in ("rouge1", "rouge2", "rougeL")]))
@@ -232,11 +246,8 @@ def rouge(preds: pd.Series, refs: pd.Series) -> pd.DataFrame:
 
     def score(p: list, r: list) -> tuple[float, float, float]:
         f = lambda s, x, y: 2 * s / (x + y) if s else 0.0
-        out = []
-        for n in (1, 2):
-            x, y = ([tuple(t[i : i + n]) for i in range(len(t) - n + 1)] for t in (p, r))
-            out.append(f(sum(min(x.count(g), y.count(g)) for g in set(x)), len(x), len(y)))
-        return (*out, f(_lcs(p, r), len(p), len(r)))
+        x, y = list(zip(p, p[1:])), list(zip(r, r[1:]))
+        return f(_shared(p, r), len(p), len(r)), f(_shared(x, y), len(x), len(y)), f(_lcs(p, r), len(p), len(r))
 
     cut = lambda t: re.findall(r"[a-z0-9]+", (t or "").lower())
     rows = [max((score(cut(p), cut(x)) for x in r), default=(0.0, 0.0, 0.0)) for p, r in zip(preds, refs)]
@@ -277,22 +288,26 @@ def best_threshold(df: DataFrame, by: str, gain: str, start: Column) -> DataFram
 def cp_wer(df: DataFrame, session: str, speaker: str, ref: str, hyp: str) -> DataFrame:
     """(session, cpwer): words of each speaker concatenated in order; the least error over assignments of hypothesis to reference speakers.
 
-    Rows: session, side ('ref' or 'hyp' text columns may be null), speaker; a session's transcript is small enough for one task.
+    Rows: session, ord, speaker, text columns of both sides (one of them may be null); all pairs of a batch of sessions are compared together.
     """
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("ord")
-        refs = [" ".join(g).split() for _, g in group[group[ref].notna()].groupby(speaker)[ref]]
-        hyps = [" ".join(g).split() for _, g in group[group[hyp].notna()].groupby(speaker)[hyp]]
-        n = max(len(refs), len(hyps))
-        refs, hyps = refs + [[]] * (n - len(refs)), hyps + [[]] * (n - len(hyps))
-        cost = [[sum(edit.operations(r, h)[1:]) for h in hyps] for r in refs]
-        words = sum(map(len, refs))
-        best = least_assignment(cost)
-        return pd.DataFrame({session: [group[session].iloc[0]], "errors": [best], "words": [words], "cpwer": [best / words if words else float("inf")]})
-
-    kind = dict(df.dtypes)[session]
-    return df.groupBy(session).applyInPandas(run, f"`{session}` {kind}, errors long, words long, cpwer double")
+    lines = lambda c: F.transform(F.sort_array(F.collect_list(F.when(F.col(c).isNotNull(), F.struct(F.col("ord").alias("o"), F.col(c).alias("t"))))), lambda x: x["t"])
+    per = df.groupBy(session, speaker).agg(lines(ref).alias("_r"), lines(hyp).alias("_h"))
+    said = lambda c: F.collect_list(F.when(F.col(speaker).isNotNull() & (F.size(c) > 0), F.array_join(c, " ")))
+    sides = per.groupBy(session).agg(said("_r").alias("_r"), said("_h").alias("_h"))
+    d = sides.select(session, F.pandas_udf(_least_errors, "struct<errors:long,words:long>")("_r", "_h").alias("_x")).select(session, "_x.*")
+    return d.withColumn("cpwer", F.when(F.col("words") > 0, F.col("errors") / F.col("words")).otherwise(F.lit(float("inf"))))
+
+
+def _least_errors(refs: pd.Series, hyps: pd.Series) -> pd.DataFrame:
+    sides = [([x.split() for x in r], [x.split() for x in h]) for r, h in zip(refs, hyps)]
+    sizes = [max(len(r), len(h)) for r, h in sides]
+    filled = [(r + [[]] * (n - len(r)), h + [[]] * (n - len(h))) for (r, h), n in zip(sides, sizes)]
+    found = edit.distances([x for r, h in filled for x in r for _ in h], [y for r, h in filled for _ in r for y in h]).tolist()
+    out, at = [], 0
+    for (r, _), n in zip(sides, sizes):
+        out.append((least_assignment([found[at + i * n : at + (i + 1) * n] for i in range(n)]), sum(map(len, r))))
+        at += n * n
+    return pd.DataFrame(out, columns=["errors", "words"])
 
 
 def least_assignment(cost: list[list[int]]) -> int:
