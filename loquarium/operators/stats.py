@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import difflib
+from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -98,20 +99,45 @@ def grid_best(grid: DataFrame, score: str, maximise: bool = True) -> DataFrame:
     return grid.agg(pick.alias("b")).select("b.*")
 
 
+def matched(a: list, b: list) -> list[int]:
+    """1 for each element of a in a matching block: the longest common run (the first in a, then in b), and so on to both sides of it."""
+    if a == b:
+        return [1] * len(a)
+    hit, where = [0] * len(a), {}
+    for j, y in enumerate(b):
+        where.setdefault(y, []).append(j)
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        low, high, left, right = todo.pop()
+        most, at, to, runs = 0, low, left, {}
+        for i in range(low, high):
+            new = {}
+            for j in where.get(a[i], ()):
+                if left <= j < right:
+                    n = new[j] = runs.get(j - 1, 0) + 1
+                    if n > most:
+                        most, at, to = n, i - n + 1, j - n + 1
+            runs = new
+        if most:
+            hit[at : at + most] = [1] * most
+            todo += [x for x in ((low, at, left, to), (at + most, high, to + most, right)) if x[0] < x[1] and x[2] < x[3]]
+    return hit
+
+
 def word_accuracy(df: DataFrame, ref: str, hyp: str) -> DataFrame:
-    """(word, n, matched, accuracy) of reference words that matching blocks pair with the hypothesis."""
-    def run(refs: pd.Series, hyps: pd.Series) -> pd.Series:
-        out = []
-        for r, h in zip(refs.fillna(""), hyps.fillna("")):
-            a, b = r.split(), h.split()
-            hit = [0] * len(a)
-            for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
-                hit[m.a : m.a + m.size] = [1] * m.size
-            out.append([(w, x) for w, x in zip(a, hit)])
-        return pd.Series(out)
-
-    pairs = df.select(F.explode(F.pandas_udf(run, "array<struct<word:string,hit:int>>")(F.col(ref), F.col(hyp))).alias("p")).select("p.*")
-    return pairs.groupBy("word").agg(F.count("*").alias("n"), F.sum("hit").alias("matched")).withColumn("accuracy", F.col("matched") / F.col("n"))
+    """(word, n, matched, accuracy) of reference words that matching blocks pair with the hypothesis; words are counted where they are matched."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n, hits = Counter(), Counter()
+            for r, h in zip(batch["r"].fillna(""), batch["h"].fillna("")):
+                words = r.split()
+                n.update(words)
+                hits.update(w for w, x in zip(words, matched(words, h.split())) if x)
+            yield pd.DataFrame({"word": list(n), "n": list(n.values()), "matched": [hits[w] for w in n]}).astype({"n": "int64", "matched": "int64"})
+
+    counts = df.select(F.col(ref).alias("r"), F.col(hyp).alias("h")).mapInPandas(run, "word string, n long, matched long")
+    return counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("matched").alias("matched")).withColumn("accuracy", F.col("matched") / F.col("n"))
 
 
 def recommend_lengths(df: DataFrame, text: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on many or long rows: same results, in time and memory that follow the input."""
 
+import difflib
 import time
 
 import duckdb
@@ -7,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loquarium.functions import edit
-from loquarium.operators import align, metrics, rover
+from loquarium.operators import align, lookup, metrics, rover, stats
 
 
 def within(seconds, run):
@@ -150,3 +151,37 @@ def test_buffers_are_folded_together(spark):
     assert {r["k"]: r["tokens"] for r in found.collect()} == wanted and "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     long = df.select("k", F.posexplode("parts").alias("i", "t"))
     assert {r["k"]: r["t"] for r in align.stitch_buffers(long, ["k"], "i", "t", 4).collect()} == {k: wanted[k] for k, parts in rows if parts}
+
+
+def test_word_blocks_and_sequences_agree_with_plain_ones():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        a, b = (list(rng.choice(list("abcdef"), rng.integers(0, 14))) for _ in range(2))
+        hit = [0] * len(a)
+        for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+            hit[m.a : m.a + m.size] = [1] * m.size
+        assert stats.matched(a, b) == hit
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+        assert metrics._lcs(a, b) == row[-1] and metrics._shared(a, b) == sum(min(a.count(x), b.count(x)) for x in set(a))
+    long = [str(x) for x in rng.integers(0, 50, 6000)]
+    assert within(10, lambda: metrics._lcs(long, long[1:] + ["x"])) == 5999
+
+
+def test_sessions_are_compared_together(spark):
+    rows = [(k, o, s, f"a{o} b c", None) for k in range(300) for o, s in enumerate("ABAB" * 30)] + [(k, o, s, None, f"a{o} b x") for k in range(300) for o, s in enumerate("1212" * 30)]
+    df = spark.createDataFrame([*rows, (300, 0, "A", "a", None), (301, 0, "1", None, "a")], "session int, ord int, speaker string, ref string, hyp string")
+    found = {r["session"]: (r["errors"], r["words"], r["cpwer"]) for r in within(60, lambda: metrics.cp_wer(df, "session", "speaker", "ref", "hyp").collect())}
+    assert found[0] == found[299] == (120, 360, 120 / 360) and found[300] == (1, 1, 1.0) and found[301] == (1, 0, float("inf"))
+
+
+def test_nearest_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "SLICE", 7)
+    rng = np.random.default_rng(9)
+    v = rng.integers(-2, 3, (150, 3)).astype(float)  # many equal products
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    found = sorted((r["query"], r["rank"], r["item"]) for r in lookup.knn(df.where("id % 5 = 0"), df, "id", "v", 4).collect())
+    assert found == [(q, n, i) for q in range(0, 150, 5) for n, i in enumerate(sorted((i for i in range(150) if i != q), key=lambda i: (-(v[q] @ v[i]), i))[:4], 1)]
