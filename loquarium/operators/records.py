@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,15 +73,26 @@ def interleaved(df: DataFrame, source: str, rn: str, out: str = "step") -> DataF
 def restored_case(text: Column, tokens: Column, blank: str = "▁") -> Column:
     """Tokens of a lower-cased text with the text's own letters; a token that is not what the text has there stays."""
 
-    def step(a: Column, t: Column) -> Column:
-        skips = F.startswith(t, F.lit(blank)) & (a["at"] > 0)
-        core = F.replace(t, F.lit(blank), F.lit(""))
-        at = a["at"] + F.when(skips, 1).otherwise(0)
-        own = F.substring(text, at + 1, F.length(core))
-        new = F.when(F.lower(own) == core, F.concat(F.when(F.startswith(t, F.lit(blank)), F.lit(blank)).otherwise(F.lit("")), own)).otherwise(t)
-        return F.struct((at + F.length(core)).alias("at"), F.concat(a["out"], F.array(new)).alias("out"))
-
-    return F.aggregate(tokens, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda a: a["out"])
+    def one(own: str | None, parts) -> list | None:
+        if parts is None:
+            return None
+        at, out = 0, []
+        for t in parts:
+            own = None if t is None else own  # from there on no place is known
+            if own is None:
+                out.append(t)
+                continue
+            marked, core = t.startswith(blank), t.replace(blank, "")
+            at += marked and at > 0
+            here = own[at : at + len(core)]
+            out.append((blank if marked else "") + here if here.lower() == core else t)
+            at += len(core)
+        return out
+
+    def run(texts: pd.Series, parts: pd.Series) -> pd.Series:
+        return pd.Series([one(x, p) for x, p in zip(texts, parts)], dtype=object)
+
+    return F.pandas_udf(run, "array<string>")(text, tokens)
 
 
 def packed_lines(words: Column, most: int) -> Column:
