@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loquarium.functions import text as T
 from loquarium.operators import align, curation, lookup, tabular
-from loquarium.plans.tables import table, texts, whole_references
+from loquarium.plans.tables import small_batches, table, texts, whole_references
 
 
 def _docs(spark, d):
@@ -39,10 +39,12 @@ def number_words(spark, d):
 
 
 def expand_tokens(spark, d):
-    return _docs(spark, d).select("doc_id", T.expand_tokens("es")(F.col("text")).alias("expanded"))
+    small_batches(spark)
+    return texts(spark, d).select("doc_id", T.expand_tokens("es")(F.col("text")).alias("expanded"))
 
 
 def clean_text(spark, d):
+    small_batches(spark)
     x = texts(spark, d).select("doc_id", "lang", "text")
     return x.select("doc_id", F.when(F.col("lang") == "es", T.clean_text(F.col("text"), "es")).otherwise(T.clean_text(F.col("text"), "gl")).alias("clean"))
 

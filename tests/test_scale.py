@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loquarium.functions import edit
-from loquarium.operators import align, lookup, metrics, rover, stats
+from loquarium.operators import align, lookup, metrics, records, rover, stats
 
 
 def within(seconds, run):
@@ -185,3 +185,19 @@ def test_nearest_in_slices(spark, monkeypatch):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
     found = sorted((r["query"], r["rank"], r["item"]) for r in lookup.knn(df.where("id % 5 = 0"), df, "id", "v", 4).collect())
     assert found == [(q, n, i) for q in range(0, 150, 5) for n, i in enumerate(sorted((i for i in range(150) if i != q), key=lambda i: (-(v[q] @ v[i]), i))[:4], 1)]
+
+
+def test_case_of_long_texts_is_restored_in_one_pass(spark):
+    words = ["Wort", "ÉÀ", "ok", "X" * 30] * 12_000
+    rows = [(" ".join(words), ["▁" + w.lower() for w in words]), ("Ab", ["▁a", "b", "▁c"]), (None, ["▁a"]), ("A", None), ("A B", ["▁a", None, "▁b"])]
+    found = spark.createDataFrame(rows, "t string, p array<string>").select(records.restored_case(F.col("t"), F.col("p")).alias("x"))
+    long, *rest = within(40, lambda: [r["x"] for r in found.collect()])
+    assert long == ["▁" + w for w in words]
+    assert rest == [["▁A", "b", "▁c"], ["▁a"], None, ["▁A", None, "▁b"]]
+
+
+def test_plain_words_are_not_expanded_one_by_one():
+    from loquarium.functions import words
+
+    words._expanded.cache_clear()
+    assert words.expand("etc plain wörter dr IV UE", "es") == "etcétera plain wörter doctor quarto UE" and words._expanded.cache_info().misses == 4
