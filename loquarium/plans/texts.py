@@ -46,7 +46,8 @@ def expand_tokens(spark, d):
 def clean_text(spark, d):
     small_batches(spark)
     x = texts(spark, d).select("doc_id", "lang", "text")
-    return x.select("doc_id", F.when(F.col("lang") == "es", T.clean_text(F.col("text"), "es")).otherwise(T.clean_text(F.col("text"), "gl")).alias("clean"))
+    spanish = F.when(F.col("lang") == "es", F.col("text"))  # UDFs get every row: others are null to this one
+    return x.select("doc_id", F.when(F.col("lang") == "es", T.clean_text(spanish, "es")).otherwise(T.clean_text(F.col("text"), "gl")).alias("clean"))
 
 
 def clean_numbers(spark, d):

@@ -201,3 +201,12 @@ def test_plain_words_are_not_expanded_one_by_one():
 
     words._expanded.cache_clear()
     assert words.expand("etc plain wörter dr IV UE", "es") == "etcétera plain wörter doctor quarto UE" and words._expanded.cache_info().misses == 4
+
+
+def test_signs_are_named_in_one_pass(spark):
+    from loquarium.functions import text, words
+
+    rows = [("a€b µ^]-\\ x",), ("plain text",), (None,), ("",), ("𝜆²",), ("€€",)]
+    df = spark.createDataFrame(rows, "t string").select(text.replace_chars(F.col("t"), words.symbols("es")).alias("x"))
+    assert [r["x"] for r in df.collect()] == ["a euros b  micro ^]-\\ x", "plain text", None, "", " Lambda  al cuadrado ", " euros  euros "]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("replace(") == 0
